@@ -36,27 +36,29 @@ def term_list(df: DataFrame, col: str) -> Column:
 
 def term_frequency(df: DataFrame, key: str, fields: Mapping[str, str]) -> DataFrame:
     """``key, field, term, tf``, counted inside each row."""
-    per_field = [
-        F.transform(
+
+    def of_field(name, col):
+        return F.transform(
             term_counts(term_list(df, col)),
-            lambda t, name=name: F.struct(
+            lambda t: F.struct(
                 F.lit(name).alias("field"), t["term"].alias("term"), t["tf"].alias("tf")
             ),
         )
-        for name, col in fields.items()
-    ]
+
+    per_field = [of_field(name, col) for name, col in fields.items()]
     return df.select(key, F.inline(F.concat(*per_field)))
 
 
 def field_document_frequency(df: DataFrame, fields: Mapping[str, str]) -> DataFrame:
     """``field, term, df`` of all fields from one scan."""
-    per_field = [
-        F.transform(
+
+    def of_field(name, col):
+        return F.transform(
             distinct_terms(term_list(df, col)),
-            lambda t, name=name: F.struct(F.lit(name).alias("field"), t.alias("term")),
+            lambda t: F.struct(F.lit(name).alias("field"), t.alias("term")),
         )
-        for name, col in fields.items()
-    ]
+
+    per_field = [of_field(name, col) for name, col in fields.items()]
     return (
         df.select(F.inline(F.concat(*per_field)))
         .groupBy("field", "term")

@@ -87,9 +87,9 @@ def bayes_classifier(spark, sf):
 )
 def bayes_term_table(spark, sf):
     seg = segmented(train_set(spark, sf))
-    model = fitted(seg)
-    train = P.vectorize(seg, P.vectorizer(model))
-    out = P.term_log_probability(P.fit(train, "bayes"), model)
+    stages = P.vectorizer(fitted(seg))
+    model = P.fit(P.vectorize(seg, stages), "bayes")
+    out = P.term_log_probability(spark, model, stages)
     return out.withColumn("logp", F.round("logp", 6))
 
 
@@ -209,11 +209,14 @@ def json_lines(spark, sf):
 
 @query("json_arrays", "S2", RAW_SQL)
 def json_arrays(spark, sf):
-    # One list per document: still files that are each a JSON list.
+    # A file is one list, here of the documents with neighbouring keys: at most
+    # 500 of them, since the key is unique.
     path = scratch_path(spark, "arrays")
-    lists = raw(spark, sf).select(F.to_json(F.array(F.struct("title", "desc", "tag"))))
-    lists.write.text(path)
-    return D.read_json_array(spark, path)
+    bundles = labelled_docs(spark, sf).groupBy(F.expr("doc_id div 500").alias("bundle")).agg(
+        F.to_json(F.collect_list(F.struct("title", "desc", "tag"))).alias("list")
+    )
+    bundles.write.partitionBy("bundle").text(path)
+    return D.read_json_array(spark, path).select("title", "desc", "tag")
 
 
 @query("snapshot", "S4 S5", with_(DOCS, LABELLED, select='SELECT doc_id, title, body AS "desc", tag FROM labelled'))

@@ -9,17 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, NaiveBayes
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import (
+    CountVectorizer,
     CountVectorizerModel,
     ElementwiseProduct,
     IndexToString,
     Normalizer,
     SQLTransformer,
     StringIndexer,
-    StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
@@ -27,7 +28,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doctag.operators.metrics import macro_f1, report
@@ -40,22 +41,23 @@ MAX_VECTOR_TERMS = 2_000_000
 
 def vectorizer(fitted: FittedTfidf, fields: Mapping[str, str] = FIELDS) -> PipelineModel:
     """Stages from token texts to one vector: the first field's block, then the
-    next. Each block is tf times idf at unit length, its terms in order."""
+    next. Each block is tf times idf at unit length."""
     if fitted.terms.count() > MAX_VECTOR_TERMS:
         raise ValueError(
             f"more than {MAX_VECTOR_TERMS} terms do not fit a vector model; "
             "raise min_df or use the long form"
         )
-    rows = fitted.terms.select("field", "term", "idf").orderBy("field", "term").collect()
     split = ", ".join(f"split(lower({c}), '[|]') AS {n}_terms" for n, c in fields.items())
     stages = [SQLTransformer(statement=f"SELECT *, {split} FROM __THIS__")]
     for name in fields:
-        own = [r for r in rows if r.field == name]
-        counts = CountVectorizerModel.from_vocabulary(
-            [r.term for r in own], inputCol=f"{name}_terms", outputCol=f"{name}_tf"
-        )
+        own = fitted.terms.filter(F.col("field") == name)
+        # Fitted on the vocabulary itself, one term per row, so nothing is lost.
+        counts = CountVectorizer(
+            vocabSize=MAX_VECTOR_TERMS, inputCol=f"{name}_terms", outputCol=f"{name}_tf"
+        ).fit(own.select(F.array("term").alias(f"{name}_terms")))
+        idf = {r.term: r.idf for r in own.select("term", "idf").collect()}
         scale = ElementwiseProduct(
-            scalingVec=Vectors.dense([r.idf for r in own]),
+            scalingVec=Vectors.dense([idf[t] for t in counts.vocabulary]),
             inputCol=f"{name}_tf",
             outputCol=f"{name}_tfidf",
         )
@@ -92,12 +94,9 @@ def _estimator(kind: str, params: dict):
 def fit(df: DataFrame, kind: str, label: str = "tag", **params) -> PipelineModel:
     """A classifier over ``features``: ``bayes``, ``tree``, ``svc`` or ``linear``.
     The fitted pipeline adds ``predict`` in terms of the label column."""
-    index = StringIndexer(
-        inputCol=label, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(df)
-    # "keep" adds a class for unknown tags when predicting; training has none.
-    estimator = _estimator(kind, {"predictionCol": "prediction", **params})
-    model = estimator.fit(_known(index).transform(df).select("features", "label"))
+    index = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(df)
+    estimator = _estimator(kind, params)
+    model = estimator.fit(index.transform(df).select("features", "label"))
     stages = [model]
     if kind == "linear":
         stages.append(
@@ -115,10 +114,6 @@ def fit(df: DataFrame, kind: str, label: str = "tag", **params) -> PipelineModel
     return PipelineModel(stages)
 
 
-def _known(index: StringIndexerModel) -> StringIndexerModel:
-    return index.copy().setHandleInvalid("error")
-
-
 def fit_thresholds(df: DataFrame, thresholds: Mapping[str, float], label: str = "tag") -> PipelineModel:
     """Naive Bayes that prefers the class with the largest probability divided by
     its threshold."""
@@ -278,30 +273,28 @@ def evaluate_split(
     return reports[0].unionByName(reports[1])
 
 
-def term_index(fitted: FittedTfidf, fields: Mapping[str, str] = FIELDS) -> DataFrame:
-    """``field, term, index``: the place of each term in the stacked vector."""
-    spark = fitted.terms.sparkSession
-    rows = fitted.terms.select("field", "term").orderBy("field", "term").collect()
-    if len(rows) > MAX_VECTOR_TERMS:
-        raise ValueError("the vocabulary is too long for a vector model")
-    ordered = [r for name in fields for r in rows if r.field == name]
+def term_index(spark: SparkSession, vectors: PipelineModel, fields: Mapping[str, str] = FIELDS) -> DataFrame:
+    """``field, term, index``: the place of each term in the stacked vector. A
+    field's indexes start behind the vocabulary of the field before it."""
+    blocks = [s.vocabulary for s in vectors.stages if isinstance(s, CountVectorizerModel)]
+    terms = [(field, term) for field, block in zip(fields, blocks) for term in block]
     return spark.createDataFrame(
-        [(r.field, r.term, i) for i, r in enumerate(ordered)], "field string, term string, index int"
+        pd.DataFrame(terms, columns=["field", "term"]).assign(index=range(len(terms))),
+        "field string, term string, index long",
     )
 
 
-def term_log_probability(model: PipelineModel, fitted: FittedTfidf) -> DataFrame:
+def term_log_probability(spark: SparkSession, model: PipelineModel, vectors: PipelineModel) -> DataFrame:
     """``class, field, term, logp`` of a fitted naive Bayes model."""
     theta = model.stages[0].theta.toArray()
     labels = model.stages[-1].getLabels()
-    spark = fitted.terms.sparkSession
     table = spark.createDataFrame(
-        [(i, [float(x) for x in theta[:, i]]) for i in range(theta.shape[1])],
-        "index int, logps array<double>",
+        pd.DataFrame({"index": range(theta.shape[1]), "logps": theta.T.tolist()}),
+        "index long, logps array<double>",
     )
     names = F.array(*[F.lit(c) for c in labels])
     return (
-        term_index(fitted)
+        term_index(spark, vectors)
         .join(table, "index")
         .select("field", "term", F.posexplode("logps").alias("_i", "logp"))
         .select(F.get(names, "_i").alias("class"), "field", "term", "logp")
