@@ -110,6 +110,8 @@ def stratified_folds(
 ) -> DataFrame:
     """Fold numbers ``0..k-1`` such that the rows of each label are divided as
     evenly as possible: the draws of a label are cut into k runs."""
+    if k < 2:
+        return df.withColumn(out, F.lit(0))
     draw = draw_order(key, seed)
     table = cut_table(
         df, draw, lambda n: [F.floor(n * j / k) for j in range(1, k)], F.col(label)

@@ -112,8 +112,18 @@ def transform_tfidf(
         "inner",
         key,
     ).withColumn("weight", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(W.partitionBy(key, "field")))
-    return known.select(key, "field", "term", (F.col("weight") / norm).alias("weight"))
+    # One window per document serves all fields, so the rows stay partitioned by
+    # the key for whatever joins or groups them next.
+    square = F.col("weight") * F.col("weight")
+    norms = [
+        F.when(
+            F.col("field") == name,
+            F.sqrt(F.sum(F.when(F.col("field") == name, square)).over(W.partitionBy(key))),
+        )
+        for name in fields
+    ]
+    weight = F.col("weight") / F.coalesce(*norms)
+    return known.select(key, "field", "term", weight.alias("weight"))
 
 
 def terms_by_idf(fitted: FittedTfidf, field: str, k: int | None = None) -> DataFrame:

@@ -22,6 +22,7 @@ from doctag.plans.catalog.registry import (
     with_,
 )
 from doctag.plans.catalog.dataset import PREDICTED, predicted
+from doctag.session import durable
 
 FIELDS = {"title": "title_seg", "desc": "desc_seg"}
 MAX_DF, MIN_DF = 0.95, 0.005
@@ -126,6 +127,11 @@ def segmented(df):
     return tokenize_documents(df, 3, 2).drop("title", "desc")
 
 
+def segmented_once(df):
+    """Token texts as a stored snapshot, for plans that read them several times."""
+    return durable(segmented(df))
+
+
 def fitted(df):
     return X.fit_tfidf(df, FIELDS, MAX_DF, MIN_DF)
 
@@ -172,7 +178,7 @@ def inverse_document_frequency(spark, sf):
     with_(DOCS, tfidf_ctes(), select="SELECT doc_id, field, term, round(weight, 6) AS weight FROM w"),
 )
 def tfidf_weights(spark, sf):
-    seg = segmented(docs(spark, sf))
+    seg = segmented_once(docs(spark, sf))
     return X.transform_tfidf(seg, fitted(seg), "doc_id", FIELDS).withColumn(
         "weight", F.round("weight", 6)
     )
@@ -222,7 +228,7 @@ def train_set(spark, sf):
 
 def bayes(spark, sf):
     train = train_set(spark, sf)
-    seg = segmented(train)
+    seg = segmented_once(train)
     model = fitted(seg)
     weights = X.transform_tfidf(seg, model, "doc_id", FIELDS)
     labels = train.select("doc_id", "tag")
@@ -243,7 +249,7 @@ def bayes(spark, sf):
 )
 def class_term_weights(spark, sf):
     train = train_set(spark, sf)
-    seg = segmented(train)
+    seg = segmented_once(train)
     weights = X.transform_tfidf(seg, fitted(seg), "doc_id", FIELDS)
     return B.class_weights(weights, train, "doc_id").withColumn("weight", F.round("weight", 6))
 

@@ -12,6 +12,7 @@ from doctag.plans.catalog.features import (
     BAYES,
     fitted,
     segmented,
+    segmented_once,
     train_set,
 )
 from doctag.plans.catalog.registry import (
@@ -30,7 +31,7 @@ from doctag.sources.lists import read_word_table
 
 def vectors(spark, sf):
     """Balanced training rows as vectors, and the stages that made them."""
-    seg = segmented(train_set(spark, sf))
+    seg = segmented_once(train_set(spark, sf))
     stages = P.vectorizer(fitted(seg))
     return durable(P.vectorize(seg, stages)), stages
 
@@ -86,7 +87,7 @@ def bayes_classifier(spark, sf):
     ),
 )
 def bayes_term_table(spark, sf):
-    seg = segmented(train_set(spark, sf))
+    seg = segmented_once(train_set(spark, sf))
     stages = P.vectorizer(fitted(seg))
     model = P.fit(P.vectorize(seg, stages), "bayes")
     out = P.term_log_probability(spark, model, stages)

@@ -202,7 +202,7 @@ def cross_validate(
         foldCol="fold",
     ).fit(folds.select("features", "label", "fold"))
     rows = [
-        (", ".join(f"{p.name}={v}" for p, v in m.items()), score)
+        (", ".join(f"{p.name}={v}" for p, v in m.items()), float(score))
         for m, score in zip(maps, fitted.avgMetrics)
     ]
     return fitted.bestModel, df.sparkSession.createDataFrame(rows, "params string, macro_f1 double")
