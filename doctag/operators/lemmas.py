@@ -7,15 +7,24 @@ from pyspark.sql import functions as F
 
 from doctag.functions.tokens import lemma_candidate
 
+# What may be sent along with every task: both bounds are checked first.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_CHARS = 100_000_000
 SALTS = 16
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the rows and their characters stay below the bounds."""
+    chars = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in df.columns]))
+    rows, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(chars), F.lit(0))).first()
+    return rows <= BROADCAST_ROWS and total <= BROADCAST_CHARS
+
+
 def join_small_or_salted(left: DataFrame, right: DataFrame, on: list[str], how: str, spread_by: str):
     """Join where a few values of ``on`` may hold much of the left side. The right
     side, one row per key, is sent along when it is short enough; otherwise it is
     repeated once per salt, so a frequent key is shared by several tasks."""
-    if right.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if fits_broadcast(right):
         return left.join(F.broadcast(right), on, how)
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
