@@ -37,6 +37,7 @@ from doctag.operators.tfidf import FittedTfidf, fit_tfidf
 
 FIELDS = {"title": "title_seg", "desc": "desc_seg"}
 MAX_VECTOR_TERMS = 2_000_000
+ROWS_PER_TASK = 5_000
 
 
 def vectorizer(fitted: FittedTfidf, fields: Mapping[str, str] = FIELDS) -> PipelineModel:
@@ -96,7 +97,7 @@ def fit(df: DataFrame, kind: str, label: str = "tag", **params) -> PipelineModel
     The fitted pipeline adds ``predict`` in terms of the label column."""
     index = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(df)
     estimator = _estimator(kind, params)
-    model = estimator.fit(index.transform(df).select("features", "label"))
+    model = estimator.fit(_filled(index.transform(df).select("features", "label")))
     stages = [model]
     if kind == "linear":
         stages.append(
@@ -114,6 +115,12 @@ def fit(df: DataFrame, kind: str, label: str = "tag", **params) -> PipelineModel
     return PipelineModel(stages)
 
 
+def _filled(data: DataFrame) -> DataFrame:
+    """Training rows in no more partitions than they can fill: every iteration of
+    a solver starts one task per partition. A larger set keeps its partitions."""
+    return data.coalesce(max(1, data.count() // ROWS_PER_TASK))
+
+
 def fit_thresholds(df: DataFrame, thresholds: Mapping[str, float], label: str = "tag") -> PipelineModel:
     """Naive Bayes that prefers the class with the largest probability divided by
     its threshold."""
@@ -171,12 +178,18 @@ def cross_val_f1(
         "features", "label", F.col("fold").cast("int").alias("fold")
     ).persist()
     try:
-        scores = []
-        for fold in range(k):
-            grid = _fit_score(
-                folds.filter(F.col("fold") != fold), folds.filter(F.col("fold") == fold), kind, params
+        scores = [
+            (
+                fold,
+                _fit_score(
+                    folds.filter(F.col("fold") != fold),
+                    folds.filter(F.col("fold") == fold),
+                    kind,
+                    params,
+                ),
             )
-            scores.append((fold, grid))
+            for fold in range(k)
+        ]
     finally:
         folds.unpersist()
     return df.sparkSession.createDataFrame(scores, "fold int, macro_f1 double")
@@ -216,7 +229,7 @@ def _predicted(model, df: DataFrame, kind: str) -> DataFrame:
 
 
 def _fit_score(train: DataFrame, valid: DataFrame, kind: str, params: dict) -> float:
-    model = _estimator(kind, params).fit(train)
+    model = _estimator(kind, params).fit(_filled(train))
     return MacroF1Evaluator()._evaluate(_predicted(model, valid, kind))
 
 
@@ -242,7 +255,7 @@ def learning_curve(
             train, valid = split_exact(base, key, test, seed + split)
             for size in sizes:
                 part = train if size >= 1.0 else sample_fraction(train, key, size, f"{seed + split}/size")
-                model = _estimator(kind, params).fit(part)
+                model = _estimator(kind, params).fit(_filled(part))
                 score = MacroF1Evaluator()._evaluate
                 rows.append(
                     (
