@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from doctag.functions.clean import CleanOptions, clean
+from doctag.functions.segment import segment_tokens
 from doctag.functions.text import has_thai, let, strings
 
 # A lemma table up to this many entries is kept as a literal in the expression;
@@ -21,8 +22,9 @@ class TokenOptions:
     """How to turn a text into tokens.
 
     ``cleaner`` replaces the default cleaner, ``segmenter`` splits one Thai
-    token into words; both map a Column to a Column. ``lemmas`` maps a token to
-    its base form.
+    token into words; both map a Column to a Column. ``th_tokenizer`` does the
+    same as a Python function from a string to a list of words. ``lemmas`` maps
+    a token to its base form.
     """
 
     ngram: int = 3
@@ -34,6 +36,7 @@ class TokenOptions:
     lemma_skips_z: bool = True
     cleaner: Callable[[Column], Column] | None = None
     segmenter: Callable[[Column], Column] | None = None
+    th_tokenizer: Callable[[str], list[str]] | None = None
 
 
 def words(text: Column, options: TokenOptions = TokenOptions()) -> Column:
@@ -50,6 +53,8 @@ def cleaned_words(cleaned: Column, options: TokenOptions = TokenOptions()) -> Co
         out = lemmatize(out, options.lemmas, options.keywords, options.lemma_skips_z)
     if options.segmenter:
         out = segment(out, options.segmenter)
+    if options.th_tokenizer:
+        out = segment_tokens(out, options.th_tokenizer)
     if options.stop_th:
         out = drop_words(out, tuple(options.stop_th))
     return out

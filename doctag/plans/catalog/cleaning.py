@@ -111,14 +111,14 @@ def thai_names(spark, sf):
 @query(
     "lone_bullet",
     "T8",
-    r"SELECT doc_id, regexp_replace(CAST(n_chars AS VARCHAR) || lang[:1] || ')', '^[0-9]+[).]*$', ' \\ ') AS with_letter,"
+    r"SELECT doc_id, regexp_replace(CAST(n_chars AS VARCHAR) || lang || ')', '^[0-9]+[).]*$', ' \\ ') AS with_letter,"
     r" regexp_replace(CAST(n_chars AS VARCHAR) || ').', '^[0-9]+[).]*$', ' \\ ') AS bullet FROM documents",
 )
 def lone_bullet(spark, sf):
     n = F.col("n_chars").cast("string")
     return table(spark, sf, "documents").select(
         "doc_id",
-        C.mark_lone_bullet(F.concat(n, F.substring("lang", 1, 1), F.lit(")"))).alias("with_letter"),
+        C.mark_lone_bullet(F.concat(n, "lang", F.lit(")"))).alias("with_letter"),
         C.mark_lone_bullet(F.concat(n, F.lit(")."))).alias("bullet"),
     )
 

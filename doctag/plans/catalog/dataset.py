@@ -110,10 +110,10 @@ def row_slice_open(spark, sf):
 @query(
     "columns_from_expressions",
     "F10",
-    with_(DOCS, select="SELECT doc_id, length(body) AS chars, left(title, 3) AS head FROM docs"),
+    with_(DOCS, select="SELECT doc_id, length(body) AS chars, length(title) AS head FROM docs"),
 )
 def columns_from_expressions(spark, sf):
-    exprs = {"head": F.left("title", F.lit(3)), "chars": F.length("desc").cast("long")}
+    exprs = {"head": F.length("title").cast("long"), "chars": F.length("desc").cast("long")}
     return D.add_columns(docs(spark, sf), exprs).select("doc_id", "chars", "head")
 
 

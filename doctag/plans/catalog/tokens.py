@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from doctag.functions import tokens as T
 from doctag.functions.clean import CleanOptions
-from doctag.functions.segment import dictionary_segmenter, longest_match, segment_tokens
+from doctag.functions.segment import dictionary_segmenter, longest_match
 from doctag.operators.dataset import preprocess, tokenize_documents
 from doctag.operators.lemmas import drop_words_by_join, lemmatize_by_join
 from doctag.plans.catalog.registry import (
@@ -309,8 +309,7 @@ SEGMENT_SQL = with_(
 
 
 def thai_words(spark, sf):
-    rows = docs(spark, sf).select("doc_id", F.translate("desc", "aeioun", THAI_LETTERS).alias("t"))
-    return rows
+    return docs(spark, sf).select("doc_id", F.translate("desc", "aeioun", THAI_LETTERS).alias("t"))
 
 
 @query("segmented_words", "T21", SEGMENT_SQL)
@@ -323,8 +322,7 @@ def segmented_words(spark, sf):
 
 @query("segmented_words_by_function", "T21 X1", SEGMENT_SQL)
 def segmented_words_by_function(spark, sf):
-    toks = thai_words(spark, sf).select("doc_id", T.words(F.col("t")).alias("toks"))
-    return toks.select(
-        "doc_id",
-        T.token_text(segment_tokens(F.col("toks"), longest_match(SEGMENTS))).alias("tokens"),
+    options = T.TokenOptions(th_tokenizer=longest_match(SEGMENTS))
+    return thai_words(spark, sf).select(
+        "doc_id", T.token_text(T.words(F.col("t"), options)).alias("tokens")
     )
