@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from doctag.llm import mixing, packing  # noqa: F401
+from doctag.llm import mixing, packing, quality, secrets  # noqa: F401
 from doctag.llm.registry import QUERIES
 
 __all__ = ["QUERIES"]
