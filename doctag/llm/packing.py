@@ -34,7 +34,7 @@ SEQUENCE = 2048
 END_ID = 1
 GROUP_PIECES = 50_000
 # Words whose ids a worker remembers, and rows that it hands on at a time.
-WORD_CACHE = 500_000
+WORD_CACHE = 1_000_000
 ROWS_OUT = 256
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
@@ -45,20 +45,29 @@ class WordIds(dict):
 
     The tokenizer drops white space and never joins across it, so a text's ids
     are those of its space-free parts. It also separates a letter from a comma
-    or full stop that ends the part, which lets the stem be remembered once."""
+    or full stop that ends the part, which lets the stem be remembered once, and
+    lowers case. A part of lower-case ASCII letters is one word to it, so that its
+    model can be asked directly; all others go through the whole tokenizer."""
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.vocabulary = vocabulary
-        self.encode = Tokenizer.from_str(vocabulary).encode_batch_fast
+        tokenizer = Tokenizer.from_str(vocabulary)
+        self.encode, self.word = tokenizer.encode, tokenizer.model.tokenize
         super().__init__({"": b""})
 
     def __missing__(self, part: str) -> bytes:
-        if len(part) > 2 and part[-1] in ",." and "a" <= part[-2] <= "z":
+        if len(part) > 2 and part[-1] in ",." and part[-2].isascii() and part[-2].isalpha():
             return self[part[:-1]] + self[part[-1]]
-        ids = self.encode([part], add_special_tokens=False)[0].ids
+        if part.isascii() and part.isalpha():
+            lower = part.lower()
+            if lower != part:
+                return self[lower]
+            ids = [token.id for token in self.word(part)]
+        else:
+            ids = self.encode(part, add_special_tokens=False).ids
         if len(self) >= WORD_CACHE:
             self.clear()
             self[""] = b""
@@ -150,22 +159,22 @@ def pack(
 ) -> DataFrame:
     """Adds ``sequence_id, offset`` to pieces with a ``length`` of at most
     ``sequence``. The pieces are stored first: they are counted, and a lost task
-    must find its group again. A group is drawn from the place of the row in the
-    stored table, so no key, however frequent, makes a group large."""
-    stored = durable(pieces)
+    must find its group again. A group is drawn from the number that a row got when
+    it was stored, so no key, however frequent, makes a group large."""
+    stored = durable(pieces.withColumn("_row", F.monotonically_increasing_id()))
     groups = max(1, -(-stored.count() // group_pieces))
     schema = T.StructType(
-        [*stored.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
+        [*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
     )
 
     def place(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         bins, offsets = first_fit_decreasing(group["length"].to_numpy(np.int64), sequence)
-        out = group.drop(columns="_group")
+        out = group.drop(columns=["_group", "_row"])
         out["sequence_id"] = (int(key[0]) << 32) + bins
         out["offset"] = offsets
         return out
 
-    drawn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))
+    drawn = F.pmod(F.xxhash64("_row"), F.lit(groups))
     return stored.withColumn("_group", drawn).groupBy("_group").applyInPandas(place, schema)
 
 
