@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +43,8 @@ SAMPLE = 8192
 PER_CELL, MIN_CODES, MAX_CODES = 256, 8, 128
 ROUNDS = 8
 BLOCK = 2048
+# Vectors that are placed at a time.
+ROWS = 512
 SEED = 29
 
 
@@ -112,27 +115,35 @@ def unit(vectors: pd.Series, width: int) -> np.ndarray:
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
-ENTRY = "label int, dim int, cell int, home int, node long, copies long, vector array<double>, visits array<int>"
+ENTRY = "label int, dim int, node long, copies long, cell int, home int, vector binary, visits binary"
 
 
 def _entries(nodes: DataFrame, index: MultiIndex) -> DataFrame:
     """Every vector once per visited cell, its own included."""
+    names = [c.split()[0] for c in ENTRY.split(", ")]
 
-    def place(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            if not len(part):
-                continue
-            x = unit(part["vector"], index.width)
-            visits = index.traversal(x).astype(np.int32)
-            # The nearest cell is the vector's own.
-            home = visits[:, 0]
-            at = np.repeat(np.arange(len(part)), visits.shape[1])
-            out = part[["label", "dim", "node", "copies"]].iloc[at].reset_index(drop=True)
-            out["cell"], out["home"] = visits.ravel(), home[at]
-            out["vector"], out["visits"] = list(x[at]), list(visits[at])
-            yield out[[c.split()[0] for c in ENTRY.split(", ")]]
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                x = unit(part.column(4).to_numpy(zero_copy_only=False), index.width)
+                visits = index.traversal(x).astype(np.int32)
+                each = pa.array(np.repeat(np.arange(len(x)), visits.shape[1]))
+                # The nearest cell is the vector's own.
+                columns = [
+                    *(part.column(i).take(each) for i in range(4)),
+                    pa.array(visits.ravel()),
+                    pa.array(visits[:, 0].copy()).take(each),
+                    pa.array([row.tobytes() for row in x], pa.binary()).take(each),
+                    pa.array([row.tobytes() for row in visits], pa.binary()).take(each),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return nodes.mapInPandas(place, ENTRY)
+    return nodes.select("label", "dim", "node", "copies", "vector").mapInArrow(place, ENTRY)
+
+
+def _rows(column: pd.Series, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column), kind).reshape(len(column), -1)
 
 
 FOUND = "node long, root long, links long"
@@ -144,9 +155,9 @@ def _meet(cosine: float):
         cells counts where the smaller node is the probe."""
         if not len(left) or not len(right):
             return pd.DataFrame({"node": [], "root": [], "links": []}, dtype=np.int64)
-        x, y = np.stack(left["vector"].to_list()), np.stack(right["vector"].to_list())
+        x, y = _rows(left["vector"], np.float64), _rows(right["vector"], np.float64)
         probe, member = left["node"].to_numpy(), right["node"].to_numpy()
-        seen, home = np.stack(right["visits"].to_list()), left["home"].to_numpy()
+        seen, home = _rows(right["visits"], np.int32), left["home"].to_numpy()
         p, m = np.nonzero(x @ y.T >= cosine)
         again = (seen[m] == home[p][:, None]).any(1)
         use = (probe[p] < member[m]) | ((probe[p] > member[m]) & ~again)
