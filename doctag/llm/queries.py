@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from doctag.llm import chat, embeddings, jaccard, lines, mixing, packing, quality, secrets, topk  # noqa: F401
+from doctag.llm import chat, embeddings, jaccard, lines, mixing, packing, quality, secrets, suffixes, topk  # noqa: F401
 from doctag.llm.registry import QUERIES
 
 __all__ = ["QUERIES"]
