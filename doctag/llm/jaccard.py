@@ -29,7 +29,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from doctag.llm import bytetext
@@ -192,13 +193,18 @@ def _signature(column: pa.ChunkedArray, kind=np.uint16) -> np.ndarray:
     return np.stack([np.frombuffer(x.as_buffer(), kind) for x in column])
 
 
-READ = "doc_id long, ref string, key binary, n int, signature binary, bands array<long>"
+def _ref() -> Column:
+    """Names a document by its id and its text."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return F.concat_ws("#", F.col("doc_id").cast("string"), F.md5(text))
+
+
+READ = "doc_id long, ref string, key binary, signature binary, bands array<long>"
 
 
 def _signed(docs: DataFrame, n: int) -> DataFrame:
-    """``doc_id, ref, key, n, signature, bands`` of every document with n-grams. The
-    key is a digest of the set; ``ref`` finds the text again."""
-    ref = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), F.md5("text")))
+    """``doc_id, ref, key, signature, bands`` of every document with n-grams. The
+    key is a digest of the set; ``ref`` finds the row again."""
     names = [c.split()[0] for c in READ.split(", ")]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +228,6 @@ def _signed(docs: DataFrame, n: int) -> DataFrame:
                         part.column(0).take(pa.array(some)),
                         part.column(1).take(pa.array(some)),
                         pa.array(keys, pa.binary()),
-                        pa.array([len(s) for s in sets], pa.int32()),
                         pa.array([row.tobytes() for row in signature], pa.binary()),
                         pa.ListArray.from_arrays(
                             pa.array(np.arange(len(sets) + 1) * BANDS, pa.int32()), pa.array(hashed.view(np.int64))
@@ -231,7 +236,7 @@ def _signed(docs: DataFrame, n: int) -> DataFrame:
                     names,
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), ref.alias("ref"), "text").mapInArrow(read, READ)
+    return docs.select(F.col("doc_id").cast("long"), _ref().alias("ref"), "text").mapInArrow(read, READ)
 
 
 LINKS = "a long, b long"
@@ -319,22 +324,18 @@ def _verify(rows: DataFrame, threshold: float, least: np.ndarray) -> DataFrame:
     return rows.mapInArrow(verify, VERIFIED)
 
 
-def jaccard_classes(
-    docs: DataFrame, threshold: float = THRESHOLD, n: int = NGRAM, tolerance: float = TOLERANCE
-) -> DataFrame:
-    """``doc_id, class_id, n_links``, a row per row of ``docs(doc_id, text)``: the
-    smallest document id that links reach, and the number of other documents that are
-    linked directly."""
-    docs = docs.select("doc_id", "text")
+def _classes(docs: DataFrame, threshold: float, n: int, tolerance: float) -> DataFrame:
+    """``doc_id, ref, first, n_links`` of the documents with n-grams; ``first`` is the
+    first document of the class: the one with the smallest id."""
     least = least_matches(threshold, tolerance)
     signed = durable(_signed(docs, n))
+    # Documents without an id come last.
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ref")
     nodes = durable(
         signed.groupBy("key")
         .agg(
-            F.min("doc_id").alias("first_id"),
-            F.min("ref").alias("ref"),
+            F.min(own).alias("first"),
             F.count(F.lit(1)).alias("copies"),
-            F.first("n").alias("n"),
             F.first("signature").alias("signature"),
             F.first("bands").alias("bands"),
         )
@@ -354,27 +355,52 @@ def jaccard_classes(
     sizes = hanging.groupBy("component").agg(F.count(F.lit(1)).alias("_n"))
     clusters = durable(
         hanging.join(sizes, "component")
-        .join(nodes.drop("bands", "first_id", "n"), "node")
-        .select("component", "_n", "node", "copies", "ref", "key", "signature")
+        .join(nodes.drop("bands"), "node")
+        .select("component", "_n", "node", "copies", F.col("first.ref").alias("ref"), "signature")
     )
     found = durable(_verify(_with_sets(docs, clusters, n), threshold, least))
     links = found.groupBy("node").agg(F.sum("links").alias("_links"))
     joined = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    ids = nodes.select("node", "key", "first_id", "copies")
-    # A class goes by its smallest document id.
-    named = joined.join(ids, "node").groupBy("component").agg(F.min("first_id").alias("_class"))
+    ids = nodes.select("node", "key", "first", "copies")
+    named = joined.join(ids, "node").groupBy("component").agg(F.min("first").alias("_class"))
     known = (
         ids.join(links, "node", "left")
         .join(joined.join(named, "component").select("node", "_class"), "node", "left")
         .select(
             "key",
-            F.coalesce("_class", "first_id").alias("class_id"),
+            F.coalesce("_class", "first").alias("first"),
             (F.coalesce("_links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"),
         )
     )
-    with_words = signed.select("doc_id", "key").join(known, "key").select("doc_id", "class_id", "n_links")
-    # Documents without n-grams are alone.
-    return with_words.unionByName(_wordless(docs))
+    return signed.select("doc_id", "ref", "key").join(known, "key").drop("key")
+
+
+def jaccard_classes(
+    docs: DataFrame, threshold: float = THRESHOLD, n: int = NGRAM, tolerance: float = TOLERANCE
+) -> DataFrame:
+    """``doc_id, class_id, n_links``, a row per row of ``docs(doc_id, text)``: the
+    smallest document id that links reach, and the number of other documents that are
+    linked directly."""
+    docs = docs.select("doc_id", "text")
+    some = _classes(docs, threshold, n, tolerance)
+    return some.select("doc_id", F.col("first.doc_id").alias("class_id"), "n_links").unionByName(_wordless(docs))
+
+
+def first_of_class(
+    docs: DataFrame, threshold: float = THRESHOLD, n: int = NGRAM, tolerance: float = TOLERANCE
+) -> DataFrame:
+    """``docs`` with one row of each class. Documents without n-grams all stay."""
+    classes = _classes(docs.select("doc_id", "text"), threshold, n, tolerance)
+    gone = durable(
+        classes.filter("n_links > 0")
+        .select(F.col("ref").alias("_ref"), (F.col("ref") == F.col("first.ref")).alias("_stays"))
+        .distinct()
+    )
+    whole = docs.select(_ref().alias("_ref"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    rows = whole.join(gone, "_ref", "left").filter("coalesce(_stays, true)")
+    # Equal rows follow each other here; where they form a class the first one stays.
+    again = F.row_number().over(W.partitionBy("_ref").orderBy(F.lit(1)))
+    return rows.withColumn("_again", again).filter("_stays IS NULL OR _again = 1").select("_row.*")
 
 
 def _wordless(docs: DataFrame) -> DataFrame:
@@ -390,23 +416,17 @@ SETS = "component long, _n long, node long, copies long, grams binary, signature
 def _with_sets(docs: DataFrame, clusters: DataFrame, n: int) -> DataFrame:
     """``component, _i, _j, node, copies, _own, grams, signature``: the clustered nodes,
     with their sets made anew from one of their texts, dealt to pairs of blocks."""
-    ref = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), F.md5("text")))
-    texts = docs.select(ref.alias("ref"), "text").join(clusters, "ref")
+    texts = docs.select(_ref().alias("ref"), "text").join(clusters, "ref")
     names = [c.split()[0] for c in SETS.split(", ")]
-    columns = ["text", "component", "_n", "node", "copies", "key", "signature"]
+    columns = ["text", "component", "_n", "node", "copies", "signature"]
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                grams = [s.tobytes() for s in ngram_sets(part.column(0), n)]
-                keys = part.column(5).to_pylist()
-                # A document id may stand on other texts too: only the node's own counts.
-                own = [hashlib.blake2b(g, digest_size=16).digest() == k for g, k in zip(grams, keys)]
-                rows = pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in (1, 2, 3, 4)), pa.array(grams, pa.binary()), part.column(6)], names
-                )
-                yield rows.filter(pa.array(own))
+                grams = pa.array([s.tobytes() for s in ngram_sets(part.column(0), n)], pa.binary())
+                columns = [*(part.column(c) for c in range(1, 5)), grams, part.column(5)]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     sets = texts.select(*columns).mapInArrow(again, SETS).dropDuplicates(["node"])
     dealt = _paired_blocks(sets, "_n", "node", CLUSTER_BLOCK)
