@@ -13,8 +13,8 @@ rows with a null id, take no part; an empty vector scores 0 with everything, and
 missing component counts as 0; ties go to the smaller id; a repeated row is a
 candidate as often as it occurs; a query id that occurs on several rows is asked
 once, with its smallest vector, and leaves out all rows of its own; empty tables give an empty result.
-Scores are exact while |score| < 2^63 (components of up to 2^25 in any number
-that occurs); larger ones are summed exactly and cut to the range of a long.
+Scores are exact; beyond the range of a long they are cut to it before they are
+compared.
 Other columns are not read.
 """
 
@@ -44,7 +44,13 @@ def usable(vector: Column) -> Column:
 
 def quantized(vector: Column, scale: int = SCALE) -> Column:
     """floor(scale * x) of every component, as double."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("double"))
+
+    def whole(x: Column) -> Column:
+        y = x.cast("double") * F.lit(float(scale))
+        # Doubles from 2^52 on are whole numbers, some too large for a long.
+        return F.when(F.abs(y) < F.lit(float(1 << 52)), F.floor(y).cast("double")).otherwise(y)
+
+    return F.transform(vector, whole)
 
 
 class Postings:
@@ -82,6 +88,8 @@ def accumulate(postings: Postings, queries: list[np.ndarray]) -> np.ndarray:
         for term in np.flatnonzero(vector[: len(postings.lists)]).tolist():
             place, weights = postings.lists[term]
             row[place] += weights * (int(vector[term]) if kind is object else kind(vector[term]))
+    if kind is object:
+        return np.clip(scores, -(2**63), 2**63 - 1).astype(np.int64)
     return scores
 
 
@@ -90,12 +98,9 @@ def best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndar
     at = np.flatnonzero(ids != own)
     score = scores[at]
     if len(at) > k:
-        if score.dtype == object:
-            pick = np.array(sorted(range(len(at)), key=lambda i: -score[i])[:k])
-        else:
-            cut = np.partition(score, len(at) - k)[len(at) - k]
-            above = np.flatnonzero(score > cut)
-            pick = np.r_[above, np.flatnonzero(score == cut)[: k - len(above)]]
+        cut = np.partition(score, len(at) - k)[len(at) - k]
+        above = np.flatnonzero(score > cut)
+        pick = np.r_[above, np.flatnonzero(score == cut)[: k - len(above)]]
         at, score = at[pick], score[pick]
     return ids[at], score
 
@@ -132,8 +137,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
             scores = accumulate(index, list(part["vector"]))
             for own, row in zip(part["vec_id"], scores):
                 found, score = best(row, ids, own, k)
-                if row.dtype == object:
-                    score = np.array([max(-(2**63), min(2**63 - 1, s)) for s in score], np.int64)
                 out.append(pd.DataFrame({"query_id": own, "vec_id": found, "score": score.astype(np.int64)}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, np.int64)
 
