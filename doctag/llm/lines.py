@@ -15,9 +15,10 @@ under those of the shorter length. Lines that share a segment are candidates.
 
 Lines under a segment are compared in blocks inside one expression, so that only true
 links come out as rows; a pair counts under the smallest segment that it shares. The
-common start and end are cut off by bisection, the rest goes through a bit-parallel
-edit distance whose words hold a band of 2 edits + 1 diagonals, and ends at the first
-column beyond the limit.
+common start and end are cut off by bisection. Pairs whose next code points on either
+side are already too far apart are dropped; the rest goes through a bit-parallel edit
+distance whose words hold a band of 2 edits + 1 diagonals, and ends at the first column
+beyond the limit.
 
 Defined cases: null text has no line, an empty text one empty line; a null document
 id comes before all others; repeated rows are further occurrences with the same
@@ -43,6 +44,8 @@ STEP = 4
 BLOCK = 32
 # Common starts and ends of up to 2^21 code points are cut off.
 BITS = 20
+# Code points on either side of the first and last difference that are looked at first.
+GLANCE = 16
 
 
 def _let(value: Column, body) -> Column:
@@ -138,9 +141,14 @@ def within(a: Column, b: Column, edits: int = EDITS) -> Column:
         long, short = F.when(swap, r["b"]).otherwise(r["a"]), F.when(swap, r["a"]).otherwise(r["b"])
         chars = F.struct(F.split(long, "").alias("long"), F.split(short, "").alias("short"))
         distance = _let(chars, lambda x: _band_distance(x["long"], x["short"], edits))
+        # Where strings are at most ``edits`` apart, starts of equal length are at most
+        # twice that, and so are ends.
+        starts = F.levenshtein(F.left(long, F.lit(GLANCE)), F.left(short, F.lit(GLANCE)), 2 * edits)
+        ends = F.levenshtein(F.right(long, F.lit(GLANCE)), F.right(short, F.lit(GLANCE)), 2 * edits)
         return (
             F.when(F.greatest(F.length(r["a"]), F.length(r["b"])) <= edits, True)
             .when(F.least(F.length(r["a"]), F.length(r["b"])) == 0, False)
+            .when((starts < 0) | (ends < 0), False)
             .otherwise(distance <= edits)
         )
 
@@ -169,10 +177,7 @@ def segment_keys(line: Column, edits: int = EDITS) -> Column:
 
     own, less = size(F.length(line)), size(F.length(line) - edits)
     return F.array_distinct(
-        F.concat(
-            _let(own, of_size),
-            F.when(less < own, _let(less, of_size)).otherwise(F.array().cast("array<bigint>")),
-        )
+        F.concat(of_size(own), F.when(less < own, of_size(less)).otherwise(F.array().cast("array<bigint>")))
     )
 
 
@@ -183,8 +188,12 @@ def split_lines(docs: DataFrame) -> DataFrame:
     )
 
 
+def _hash(line: Column) -> Column:
+    return F.struct(F.xxhash64(line).alias("x"), F.xxhash64(F.lit(1), line).alias("y"))
+
+
 def _links(lines: DataFrame, docs: DataFrame, edits: int) -> DataFrame:
-    """``a, b``: the links between distinct ``lines(id, doc_id, line_no, keys)``."""
+    """``a, b``: the links between distinct ``lines(id, doc_id, line_no, keys, hash)``."""
     under = lines.select("id", F.explode("keys").alias("key"))
     several = under.groupBy("key").agg(
         F.count(F.lit(1)).alias("_n"), F.min("id").alias("_low"), F.max("id").alias("_high")
@@ -192,16 +201,15 @@ def _links(lines: DataFrame, docs: DataFrame, edits: int) -> DataFrame:
     several = several.filter("_low < _high").select("key", "_n")
     met = durable(under.join(several, "key"))
     # The texts of the candidates, from their first documents.
-    wanted = met.select("id").distinct().join(lines.select("id", "doc_id", "line_no", "keys"), "id")
+    wanted = met.select("id").distinct().join(lines, "id")
     places = durable(
-        wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "id", "keys")).alias("_want"))
+        wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "id", "keys", "hash")).alias("_want"))
     ).withColumnRenamed("doc_id", "_doc")
     found = docs.select("doc_id", "text").join(places, F.col("doc_id").eqNullSafe(F.col("_doc")))
-    texts = found.select("text", F.inline("_want")).select(
-        "id", "keys", F.btrim(F.get(F.split("text", "\n", -1), F.col("line_no")), F.lit(" \t\r")).alias("line")
-    )
-    # A document id may stand on several texts: the keys tell the right one.
-    texts = texts.filter(F.col("line").isNotNull() & (segment_keys(F.col("line"), edits) == F.col("keys")))
+    texts = found.select(F.split("text", "\n", -1).alias("_lines"), "_want").select("_lines", F.inline("_want"))
+    texts = texts.select("id", "keys", "hash", F.btrim(F.get("_lines", F.col("line_no")), F.lit(" \t\r")).alias("line"))
+    # A document id may stand on several texts: the hash tells the right one.
+    texts = texts.filter(_hash(F.col("line")) == F.col("hash")).drop("hash")
     rows = met.join(texts.dropDuplicates(["id"]), "id")
     count = F.ceil(F.col("_n") / BLOCK).cast("int")
     blocks = durable(
@@ -237,7 +245,7 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> Dat
         split_lines(docs).select(
             "doc_id",
             "line_no",
-            F.when(takes_part, F.struct(F.xxhash64(line).alias("x"), F.xxhash64(F.lit(1), line).alias("y"))).alias("hash"),
+            F.when(takes_part, _hash(line)).alias("hash"),
             F.when(takes_part, segment_keys(line, edits)).alias("keys"),
         )
     )
@@ -251,7 +259,7 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> Dat
         )
         .withColumn("id", F.monotonically_increasing_id())
     )
-    links = durable(_links(distinct.select("id", "first.*", "keys"), docs, edits))
+    links = durable(_links(distinct.select("id", "first.*", "keys", "hash"), docs, edits))
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     copies = distinct.select(F.col("id").alias("b"), F.col("copies").alias("_c"))
     counts = both.join(copies, "b").groupBy("a").agg(F.sum("_c").alias("_links")).withColumnRenamed("a", "id")
