@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from math import log
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doctag.operators.lemmas import join_small_or_salted
@@ -69,6 +69,20 @@ def fit_bayes(
     )
 
 
+def save_bayes(model: FittedBayes, path: str) -> None:
+    """The classes with their priors, and the table of terms."""
+    spark = model.terms.sparkSession
+    rows = list(zip(range(len(model.classes)), model.classes, model.log_prior))
+    spark.createDataFrame(rows, "i int, class string, log_prior double").write.parquet(f"{path}/classes")
+    model.terms.write.parquet(f"{path}/terms")
+
+
+def load_bayes(spark: SparkSession, path: str) -> FittedBayes:
+    rows = spark.read.parquet(f"{path}/classes").orderBy("i").collect()
+    terms = spark.read.parquet(f"{path}/terms")
+    return FittedBayes(tuple(r["class"] for r in rows), tuple(r.log_prior for r in rows), terms)
+
+
 def score_bayes(weights: DataFrame, model: FittedBayes, key: str) -> DataFrame:
     """``key, scores`` with one joint log-likelihood per class."""
     n = len(model.classes)

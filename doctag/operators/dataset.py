@@ -73,7 +73,8 @@ def mispredicted(df: DataFrame, label: str = "tag", predict: str = "predict") ->
 
 
 def not_sampled(df: DataFrame) -> DataFrame:
-    return df.filter(~F.col("sampled"))
+    """Rows that are not marked; a row without a mark was never drawn."""
+    return df.filter(~F.coalesce("sampled", F.lit(False)))
 
 
 def add_columns(
@@ -100,20 +101,31 @@ def one_vs_rest(df: DataFrame, label: str, col: str = "tag") -> DataFrame:
     return df.withColumn(col, F.when(is_label, F.col(col)).otherwise(F.lit("!" + label)))
 
 
-def document_id(salt: str) -> Column:
-    """The id of a document in the batch named ``salt``."""
-    return F.md5(F.concat(F.lit(salt), F.col("title"), F.col("desc")))
+# Stands between the parts of what an id is made from.
+ID_SEPARATOR = "\x1f"
+
+
+def document_id(salt: str, key: str | None = None) -> Column:
+    """The id of a document in the batch named ``salt``. Copies get ids of their own:
+    from the ``key`` of the row, or without one from its place in the plan, which a
+    later run need not repeat."""
+    row = F.monotonically_increasing_id() if key is None else F.col(key)
+    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in (row, F.col("title"), F.col("desc"))]
+    return F.md5(F.concat_ws(ID_SEPARATOR, F.lit(salt), *parts))
 
 
 def preprocess(
-    df: DataFrame, options: TokenOptions = TokenOptions(ngram=PRE_PROCESS_NGRAM), salt: str = ""
+    df: DataFrame,
+    options: TokenOptions = TokenOptions(ngram=PRE_PROCESS_NGRAM),
+    salt: str = "",
+    key: str | None = None,
 ) -> DataFrame:
     """A document set from raw documents: id, token texts and the sampled mark.
-    Other columns, such as a key, are kept in front."""
+    Other columns are kept in front; ``key`` names the one that the ids come from."""
     own = ("job_id", "title", "desc", "tag", "title_seg", "desc_seg", "sampled")
     return df.select(
         *[c for c in df.columns if c not in own],
-        document_id(salt).alias("job_id"),
+        document_id(salt, key).alias("job_id"),
         "title",
         "desc",
         "tag",
@@ -129,10 +141,11 @@ def reinit(
     salt: str = "",
     min_chars: int = DESC_MIN_CHARS,
     keep: Sequence[str] = (),
+    key: str | None = None,
 ) -> DataFrame:
     """Drop short documents and user columns, derive everything else anew."""
     raw = df.select(*keep, "title", "desc", "tag")
-    return preprocess(min_length(raw, "desc", min_chars), options, salt)
+    return preprocess(min_length(raw, "desc", min_chars), options, salt, key)
 
 
 def tokenize_documents(

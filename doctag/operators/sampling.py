@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from doctag.operators.dataset import one_vs_rest
-from doctag.operators.order import cut_at, cut_table, draw_order
+from doctag.operators.order import cut_at, cut_table, draw_order, with_row_number
 
 ALL = "ALL"
 # Cut tables up to this many groups are sent along with the tasks.
@@ -42,7 +42,7 @@ def sample(
 
     A fraction counts from the whole set, and the sample is no larger than what
     is left to draw from. ``repeated`` draws from the whole set; otherwise keys in
-    the ledger, or rows marked ``sampled``, are left out. ``'ALL'`` is the entire
+    the ledger, or rows marked ``sampled``, are left out (no mark is not a mark). ``'ALL'`` is the entire
     set, drawn or not.
     """
     if size == ALL:
@@ -50,7 +50,7 @@ def sample(
     source = df
     if not repeated:
         if "sampled" in df.columns:
-            source = source.filter(~F.col("sampled"))
+            source = source.filter(~F.coalesce("sampled", F.lit(False)))
         if ledger is not None:
             source = exclude_sampled(source, ledger, key)
     n = int(df.count() * size) if isinstance(size, float) else size
@@ -92,7 +92,10 @@ def training_set(
     return one_vs_rest(out, label) if relabel else out
 
 
-def shuffle(df: DataFrame, key: str, seed: int | str = 0) -> DataFrame:
+def shuffle(df: DataFrame, key: str, seed: int | str = 0, position: str | None = None) -> DataFrame:
+    """Rows in the random order of the seed; ``position`` names a column for the place."""
+    if position:
+        return with_row_number(df, [draw_order(key, seed)], position)
     return df.orderBy(draw_order(key, seed))
 
 

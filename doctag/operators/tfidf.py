@@ -6,10 +6,11 @@ ML is in :mod:`doctag.plans.training`.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -20,11 +21,13 @@ from doctag.session import durable
 
 @dataclass(frozen=True)
 class FittedTfidf:
-    """``terms``: ``field, term, df, idf``; one block of rows per field."""
+    """``terms``: ``field, term, df, idf``; one block of rows per field. ``limits`` are
+    the largest and smallest document frequency that each field was fitted with."""
 
     terms: DataFrame
     n_docs: int
     fields: tuple[str, ...]
+    limits: Mapping[str, tuple[float | int, float | int]]
 
 
 def term_list(df: DataFrame, col: str) -> Column:
@@ -66,16 +69,20 @@ def field_document_frequency(df: DataFrame, fields: Mapping[str, str]) -> DataFr
     )
 
 
+def _between(n_docs: int, max_df: float | int, min_df: float | int) -> Column:
+    low = min_df * n_docs if isinstance(min_df, float) else min_df
+    high = max_df * n_docs if isinstance(max_df, float) else max_df
+    if high < low:
+        raise ValueError("max_df corresponds to fewer documents than min_df")
+    return (F.col("df") >= low) & (F.col("df") <= high)
+
+
 def prune(
     counts: DataFrame, n_docs: int, max_df: float | int = 1.0, min_df: float | int = 1
 ) -> DataFrame:
     """Terms with ``min_df <= df <= max_df``; a float is a share of the documents,
     an int a number of them."""
-    low = min_df * n_docs if isinstance(min_df, float) else min_df
-    high = max_df * n_docs if isinstance(max_df, float) else max_df
-    if high < low:
-        raise ValueError("max_df corresponds to fewer documents than min_df")
-    return counts.filter((F.col("df") >= low) & (F.col("df") <= high))
+    return counts.filter(_between(n_docs, max_df, min_df))
 
 
 def smooth_idf(n_docs: int) -> Column:
@@ -85,17 +92,39 @@ def smooth_idf(n_docs: int) -> Column:
 def fit_tfidf(
     df: DataFrame,
     fields: Mapping[str, str] | str,
-    max_df: float | int = 1.0,
-    min_df: float | int = 1,
+    max_df: float | int | Mapping[str, float | int] = 1.0,
+    min_df: float | int | Mapping[str, float | int] = 1,
 ) -> FittedTfidf:
-    """Vocabulary and idf of each field; ``fields`` maps a name to a token column.
-    The fitted table is made durable, as every transform reads it."""
+    """Vocabulary and idf of each field; ``fields`` maps a name to a token column, and
+    the limits are for all fields or by field. The fitted table is made durable, as
+    every transform reads it."""
     if isinstance(fields, str):
         fields = {fields: fields}
+    limits = {
+        name: tuple(m[name] if isinstance(m, Mapping) else m for m in (max_df, min_df)) for name in fields
+    }
     n_docs = df.count()
-    counts = prune(field_document_frequency(df, fields), n_docs, max_df, min_df)
+    kept = F.lit(False)
+    for name, (high, low) in limits.items():
+        kept = kept | ((F.col("field") == name) & _between(n_docs, high, low))
+    counts = field_document_frequency(df, fields).filter(kept)
     terms = durable(counts.withColumn("idf", smooth_idf(n_docs)))
-    return FittedTfidf(terms, n_docs, tuple(fields))
+    return FittedTfidf(terms, n_docs, tuple(fields), limits)
+
+
+def save_tfidf(fitted: FittedTfidf, path: str) -> None:
+    """The table of terms, and what it was fitted with."""
+    about = json.dumps({"n_docs": fitted.n_docs, "fields": fitted.fields, "limits": fitted.limits})
+    spark = fitted.terms.sparkSession
+    spark.createDataFrame([(about,)], "value string").coalesce(1).write.text(f"{path}/about")
+    fitted.terms.write.parquet(f"{path}/terms")
+
+
+def load_tfidf(spark: SparkSession, path: str) -> FittedTfidf:
+    about = json.loads(spark.read.text(f"{path}/about").first()["value"])
+    limits = {name: tuple(pair) for name, pair in about["limits"].items()}
+    terms = spark.read.parquet(f"{path}/terms")
+    return FittedTfidf(terms, about["n_docs"], tuple(about["fields"]), limits)
 
 
 def transform_tfidf(
@@ -105,8 +134,11 @@ def transform_tfidf(
     Terms outside the vocabulary are dropped before anything is shuffled."""
     if isinstance(fields, str):
         fields = {fields: fields}
+    # The compact rows are dealt by document; what comes from them stays so, and the
+    # norms need no exchange of single terms.
+    rows = df.select(key, *dict.fromkeys(fields.values())).repartition(key)
     known = join_small_or_salted(
-        term_frequency(df, key, fields),
+        term_frequency(rows, key, fields),
         fitted.terms.select("field", "term", "idf"),
         ["field", "term"],
         "inner",

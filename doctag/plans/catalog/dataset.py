@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from doctag.operators import dataset as D
+from doctag.operators.order import with_row_number
 from doctag.operators.sampling import exclude_sampled, mark_sampled
 from doctag.plans.catalog.registry import (
     DOCS,
@@ -13,6 +14,7 @@ from doctag.plans.catalog.registry import (
     docs,
     labelled_docs,
     query,
+    sql_id,
     table,
     tagged_docs,
     token_ctes,
@@ -140,9 +142,21 @@ def one_vs_rest(spark, sf):
     return D.one_vs_rest(tagged_docs(spark, sf), "1").select("doc_id", "tag")
 
 
-@query("document_ids", "F13", with_(DOCS, select="SELECT doc_id, md5('run-7' || title || body) AS job_id FROM docs"))
+@query("document_ids", "F13", with_(DOCS, select=f"SELECT doc_id, {sql_id('run-7')} AS job_id FROM docs"))
 def document_ids(spark, sf):
-    return docs(spark, sf).select("doc_id", D.document_id("run-7").alias("job_id"))
+    return docs(spark, sf).select("doc_id", D.document_id("run-7", "doc_id").alias("job_id"))
+
+
+@query("document_ids_unique", "F13", "SELECT count(*) AS documents, count(*) AS ids FROM documents")
+def document_ids_unique(spark, sf):
+    """Copies get ids of their own, with and without a key."""
+    ids = docs(spark, sf).select(
+        D.document_id("run-7", "doc_id").alias("a"), D.document_id("run-7").alias("b")
+    )
+    return ids.agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.least(F.count_distinct("a"), F.count_distinct("b")).alias("ids"),
+    )
 
 
 @query(
@@ -157,12 +171,12 @@ def renumbered(spark, sf):
     return D.renumber(D.min_length(docs(spark, sf)).select("doc_id", "title"), "doc_id")
 
 
-@query("blank_document_set", "F15 S3 U1", with_(DOCS, LABELLED, select='SELECT title, body AS "desc", tag, CAST(doc_id AS VARCHAR) AS origin FROM labelled'))
+@query("blank_document_set", "F15 S3 U1", with_(DOCS, TAGGED, select='SELECT title, body AS "desc", tag, CAST(doc_id AS VARCHAR) AS origin FROM tagged'))
 def blank_document_set(spark, sf):
     from doctag.sources.documents import documents
 
     blank = documents(spark, add_column=["origin"])
-    rows = labelled_docs(spark, sf).select(
+    rows = tagged_docs(spark, sf).select(
         "title", "desc", "tag", F.col("doc_id").cast("string").alias("origin")
     )
     return D.append(blank, rows).select("title", "desc", "tag", "origin")
@@ -224,14 +238,14 @@ def score_cutoff(spark, sf):
         TAGGED,
         token_ctes("docs", "title", "a", 5),
         token_ctes("docs", "body", "b", 5),
-        select="SELECT t.doc_id, md5('again' || title || body) AS job_id, title, body AS \"desc\", tag,"
+        select=f"SELECT t.doc_id, {sql_id('again', 't.')} AS job_id, title, body AS \"desc\", tag,"
         " array_to_string(a.toks, '|') AS title_seg, array_to_string(b.toks, '|') AS desc_seg, false AS sampled"
         " FROM tagged t JOIN a ON t.doc_id = a.doc_id JOIN b ON t.doc_id = b.doc_id WHERE length(body) > 60",
     ),
 )
 def document_set_again(spark, sf):
     used = tagged_docs(spark, sf).withColumns({"sampled": F.lit(True), "note": F.lit("x")})
-    return D.reinit(used, salt="again", keep=["doc_id"])
+    return D.reinit(used, salt="again", keep=["doc_id"], key="doc_id")
 
 
 LEDGER = "ledger AS (SELECT doc_id FROM labels WHERE toxic = 1 OR quality = 0)"
@@ -265,20 +279,25 @@ def sampled_marked(spark, sf):
 @query(
     "first_rows",
     "W5",
-    with_(DOCS, select='SELECT doc_id, title, body AS "desc" FROM docs ORDER BY doc_id LIMIT 4'),
+    with_(
+        DOCS,
+        select='SELECT doc_id, title, body AS "desc", row_number() OVER (ORDER BY doc_id) AS position FROM docs'
+        " ORDER BY doc_id LIMIT 4",
+    ),
 )
 def first_rows(spark, sf):
-    return D.head(docs(spark, sf), "doc_id")
+    return with_row_number(D.head(docs(spark, sf), "doc_id"), [F.col("doc_id")], "position")
 
 
 @query(
     "sorted_rows",
     "W2",
-    "SELECT doc_id, source, n_chars FROM documents ORDER BY source DESC, n_chars, doc_id",
+    "SELECT doc_id, source, n_chars, row_number() OVER (ORDER BY source DESC, n_chars, doc_id) AS position"
+    " FROM documents",
 )
 def sorted_rows(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", "source", "n_chars")
-    return rows.orderBy(F.desc("source"), "n_chars", "doc_id")
+    return with_row_number(rows, [F.desc("source"), F.col("n_chars"), F.col("doc_id")], "position")
 
 
 @query(

@@ -22,10 +22,12 @@ from doctag.plans.catalog.registry import (
     with_,
 )
 from doctag.plans.catalog.dataset import PREDICTED, predicted
-from doctag.session import durable
+from doctag.session import durable, scratch_path
 
 FIELDS = {"title": "title_seg", "desc": "desc_seg"}
 MAX_DF, MIN_DF = 0.95, 0.005
+# The longest n-grams of a vocabulary, of a title and of a description.
+N_WORDS, N_TITLE, N_DESC = 5, 10, 5
 
 
 def freq_ctes(col: str, n: int) -> str:
@@ -42,29 +44,29 @@ def freq_ctes(col: str, n: int) -> str:
 @query(
     "document_frequency",
     "A1",
-    with_(freq_ctes("body", 3), select="SELECT token, frequency FROM f"),
+    with_(freq_ctes("body", N_WORDS), select="SELECT token, frequency FROM f"),
 )
 def document_frequency(spark, sf):
-    return V.document_frequency(docs(spark, sf), tokenize(F.col("desc"), TokenOptions(ngram=3)))
+    return V.document_frequency(docs(spark, sf), tokenize(F.col("desc"), TokenOptions(ngram=N_WORDS)))
 
 
 @query(
     "vocabulary",
     "A1 W1 W2 M4",
     with_(
-        freq_ctes("body", 2),
+        freq_ctes("body", N_WORDS),
         select="SELECT token, frequency, row_number() OVER (ORDER BY frequency DESC, token) AS rank FROM f",
     ),
 )
 def vocabulary(spark, sf):
-    return V.vocabulary(docs(spark, sf), "desc", ngram=2)
+    return V.vocabulary(docs(spark, sf), "desc", ngram=N_WORDS)
 
 
 @query(
     "title_vocabulary",
     "A1 W1",
     with_(
-        freq_ctes("title", 5),
+        freq_ctes("title", N_WORDS),
         select="SELECT token, frequency, row_number() OVER (ORDER BY frequency DESC, token) AS rank FROM f",
     ),
 )
@@ -76,13 +78,13 @@ def title_vocabulary(spark, sf):
     "top_vocabulary",
     "A1 W1 W2",
     with_(
-        freq_ctes("body", 2),
+        freq_ctes("body", N_WORDS),
         select="SELECT token, frequency, row_number() OVER (ORDER BY frequency DESC, token) AS rank FROM f"
         " ORDER BY rank LIMIT 100",
     ),
 )
 def top_vocabulary(spark, sf):
-    terms = tokenize(F.col("desc"), TokenOptions(ngram=2))
+    terms = tokenize(F.col("desc"), TokenOptions(ngram=N_WORDS))
     return V.top_vocabulary(V.document_frequency(docs(spark, sf), terms), 100)
 
 
@@ -91,20 +93,20 @@ def top_vocabulary(spark, sf):
     "A2",
     with_(
         DOCS,
-        token_ctes("docs", "body", "k", 2),
+        token_ctes("docs", "body", "k", N_WORDS),
         f"u AS (SELECT doc_id, unnest({TERMS}) AS term FROM k)",
         select="SELECT doc_id, term, count(*) AS tf FROM u GROUP BY doc_id, term",
     ),
 )
 def term_frequency(spark, sf):
-    terms = tokenize(F.col("desc"), TokenOptions(ngram=2))
+    terms = tokenize(F.col("desc"), TokenOptions(ngram=N_WORDS))
     return docs(spark, sf).select("doc_id", F.inline(term_counts(terms)))
 
 
 # --- TF-IDF ------------------------------------------------------------------------
 
 
-def tfidf_ctes(src: str = "docs", n_title: int = 3, n_desc: int = 2) -> str:
+def tfidf_ctes(src: str = "docs", n_title: int = N_TITLE, n_desc: int = N_DESC) -> str:
     """From documents to ``idf(field, term, df, idf)`` and ``w(doc_id, field, term, weight)``."""
     return ",\n".join(
         [
@@ -124,7 +126,7 @@ def tfidf_ctes(src: str = "docs", n_title: int = 3, n_desc: int = 2) -> str:
 
 
 def segmented(df):
-    return tokenize_documents(df, 3, 2).drop("title", "desc")
+    return tokenize_documents(df, N_TITLE, N_DESC).drop("title", "desc")
 
 
 def segmented_once(df):
@@ -150,7 +152,7 @@ def pruned_vocabulary(spark, sf):
     "L1",
     with_(
         DOCS,
-        token_ctes("docs", "title", "a", 3),
+        token_ctes("docs", "title", "a", N_TITLE),
         f"t AS (SELECT DISTINCT doc_id, unnest({TERMS}) AS term FROM a)",
         select="SELECT term, count(*) AS df FROM t GROUP BY term HAVING count(*) BETWEEN 3 AND 40",
     ),
@@ -208,7 +210,7 @@ BALANCED = (
 )
 BAYES = ",\n".join(
     [
-        tfidf_ctes("train"),
+        tfidf_ctes(),
         "cw AS (SELECT w.field, w.term, sum(CASE WHEN tag = '!0' THEN weight ELSE 0 END) AS a,"
         " sum(CASE WHEN tag = '0' THEN weight ELSE 0 END) AS b FROM w JOIN train ON w.doc_id = train.doc_id"
         " GROUP BY w.field, w.term)",
@@ -217,6 +219,12 @@ BAYES = ",\n".join(
         "tot AS (SELECT sum(a) AS a, sum(b) AS b, count(*) AS n FROM dense)",
         "lp AS (SELECT field, term, ln(dense.a + 1) - ln(tot.a + tot.n) AS a, ln(dense.b + 1) - ln(tot.b + tot.n) AS b"
         " FROM dense CROSS JOIN tot)",
+        "sc AS (SELECT w.doc_id, sum(weight * lp.a) AS a, sum(weight * lp.b) AS b FROM w JOIN lp"
+        " ON w.field = lp.field AND w.term = lp.term GROUP BY w.doc_id)",
+        # Both classes have as many rows, so the priors cancel out.
+        "scored AS (SELECT d.doc_id, coalesce(sc.a, 0) AS a, coalesce(sc.b, 0) AS b,"
+        " 1 / (1 + exp(coalesce(sc.a, 0) - coalesce(sc.b, 0))) AS p FROM docs d LEFT JOIN sc ON d.doc_id = sc.doc_id)",
+        "judged AS (SELECT doc_id, CASE WHEN a >= b THEN '!0' ELSE '0' END AS predict, p FROM scored)",
     ]
 )
 CLASSES = ("!0", "0")
@@ -227,12 +235,13 @@ def train_set(spark, sf):
 
 
 def bayes(spark, sf):
-    train = train_set(spark, sf)
-    seg = segmented_once(train)
+    """Weights of all documents, stored once, and a model of the balanced ones. The
+    vocabulary and its document frequencies are those of the whole corpus."""
+    seg = segmented_once(docs(spark, sf))
     model = fitted(seg)
-    weights = X.transform_tfidf(seg, model, "doc_id", FIELDS)
-    labels = train.select("doc_id", "tag")
-    return train, weights, B.fit_bayes(weights, labels, model.terms, "doc_id", CLASSES), model
+    weights = durable(X.transform_tfidf(seg, model, "doc_id", FIELDS))
+    labels = train_set(spark, sf).select("doc_id", "tag")
+    return weights, B.fit_bayes(weights, labels, model.terms, "doc_id", CLASSES)
 
 
 @query(
@@ -242,16 +251,15 @@ def bayes(spark, sf):
         DOCS,
         LABELLED,
         BALANCED,
-        tfidf_ctes("train"),
+        tfidf_ctes(),
         select="SELECT field, term, tag, round(sum(weight), 6) AS weight FROM w JOIN train ON w.doc_id = train.doc_id"
         " GROUP BY field, term, tag",
     ),
 )
 def class_term_weights(spark, sf):
-    train = train_set(spark, sf)
-    seg = segmented_once(train)
+    seg = segmented_once(docs(spark, sf))
     weights = X.transform_tfidf(seg, fitted(seg), "doc_id", FIELDS)
-    return B.class_weights(weights, train, "doc_id").withColumn("weight", F.round("weight", 6))
+    return B.class_weights(weights, train_set(spark, sf), "doc_id").withColumn("weight", F.round("weight", 6))
 
 
 @query(
@@ -267,7 +275,7 @@ def class_term_weights(spark, sf):
     ),
 )
 def class_term_probabilities(spark, sf):
-    return B.term_scores(bayes(spark, sf)[2]).withColumn("logp", F.round("logp", 6))
+    return B.term_scores(bayes(spark, sf)[1]).withColumn("logp", F.round("logp", 6))
 
 
 @query(
@@ -285,7 +293,7 @@ def class_term_probabilities(spark, sf):
     ),
 )
 def top_class_terms(spark, sf):
-    model = bayes(spark, sf)[2]
+    model = bayes(spark, sf)[1]
     # Equal sums may differ in the last bits, so ties are decided on nine digits.
     rounded = F.transform("logp", lambda p: F.round(p, 9))
     model = B.FittedBayes(model.classes, model.log_prior, model.terms.withColumn("logp", rounded))
@@ -300,18 +308,40 @@ def top_class_terms(spark, sf):
         LABELLED,
         BALANCED,
         BAYES,
-        "sc AS (SELECT w.doc_id, sum(weight * lp.a) AS a, sum(weight * lp.b) AS b FROM w JOIN lp"
-        " ON w.field = lp.field AND w.term = lp.term GROUP BY w.doc_id)",
-        select="SELECT t.doc_id, tag, CASE WHEN coalesce(sc.a, 0) >= coalesce(sc.b, 0) THEN '!0' ELSE '0' END AS predict,"
-        " round(1 / (1 + exp(coalesce(sc.a, 0) - coalesce(sc.b, 0))), 6) AS p FROM train t LEFT JOIN sc ON t.doc_id = sc.doc_id",
+        select="SELECT doc_id, predict, round(p, 6) AS p FROM judged",
     ),
 )
 def bayes_predictions(spark, sf):
-    train, weights, model, _ = bayes(spark, sf)
-    out = B.predict_bayes(weights, train.select("doc_id", "tag"), model, "doc_id")
-    return out.select(
-        "doc_id", "tag", "predict", F.round(F.get("probability", F.lit(1)), 6).alias("p")
-    )
+    """All documents, judged by a model of the labelled ones."""
+    weights, model = bayes(spark, sf)
+    out = B.predict_bayes(weights, docs(spark, sf).select("doc_id"), model, "doc_id")
+    return out.select("doc_id", "predict", F.round(F.get("probability", F.lit(1)), 6).alias("p"))
+
+
+@query(
+    "reloaded_bayes",
+    "S10 L6 L8",
+    with_(
+        DOCS,
+        LABELLED,
+        BALANCED,
+        BAYES,
+        select="SELECT doc_id, predict, round(p, 6) AS p FROM judged",
+    ),
+)
+def reloaded_bayes(spark, sf):
+    """The same from models that were stored and read back: new documents need only
+    the two stored models."""
+    seg = segmented_once(docs(spark, sf))
+    base = scratch_path(spark, "models")
+    model = fitted(seg)
+    X.save_tfidf(model, f"{base}/tfidf")
+    weights = X.transform_tfidf(seg, model, "doc_id", FIELDS)
+    labels = train_set(spark, sf).select("doc_id", "tag")
+    B.save_bayes(B.fit_bayes(weights, labels, model.terms, "doc_id", CLASSES), f"{base}/bayes")
+    again = X.transform_tfidf(seg, X.load_tfidf(spark, f"{base}/tfidf"), "doc_id", FIELDS)
+    out = B.predict_bayes(again, docs(spark, sf).select("doc_id"), B.load_bayes(spark, f"{base}/bayes"), "doc_id")
+    return out.select("doc_id", "predict", F.round(F.get("probability", F.lit(1)), 6).alias("p"))
 
 
 # --- reports ------------------------------------------------------------------------

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from doctag.functions.clean import drop_illegal
 from doctag.operators import metrics as M
 from doctag.operators.sampling import split_exact
 from doctag.plans import training as P
@@ -11,33 +13,37 @@ from doctag.plans.catalog.features import (
     BALANCED,
     BAYES,
     fitted,
-    segmented,
     segmented_once,
     train_set,
 )
+from doctag.plans.catalog.rules import HITS, VERDICT
 from doctag.plans.catalog.registry import (
     DOCS,
     LABELLED,
+    TAGGED,
     docs,
     labelled_docs,
     query,
     table,
+    tagged_docs,
     with_,
 )
 from doctag.session import durable, scratch_path
 from doctag.sources import documents as D
-from doctag.sources.lists import read_word_table
+from doctag.sources.lists import read_charset, read_word_list, read_word_table
 
 
 def vectors(spark, sf):
-    """Balanced training rows as vectors, and the stages that made them."""
-    seg = segmented_once(train_set(spark, sf))
-    stages = P.vectorizer(fitted(seg))
-    return durable(P.vectorize(seg, stages)), stages
+    """Balanced training rows as vectors, and all documents as vectors. The vocabulary
+    is that of the whole corpus."""
+    seg = segmented_once(docs(spark, sf))
+    rows = P.vectorize(seg, P.vectorizer(fitted(seg)))
+    tags = train_set(spark, sf).select("doc_id", "tag")
+    return durable(rows.join(tags, "doc_id")), rows
 
 
-def all_vectors(spark, sf, stages):
-    return P.vectorize(segmented(labelled_docs(spark, sf)), stages)
+def bayes_sql(select: str) -> str:
+    return with_(DOCS, LABELLED, BALANCED, BAYES, select=select)
 
 
 @query("vector_blocks", "L4 L5 J2 M9")
@@ -63,15 +69,12 @@ def vector_blocks(spark, sf):
         LABELLED,
         BALANCED,
         BAYES,
-        "sc AS (SELECT w.doc_id, sum(weight * lp.a) AS a, sum(weight * lp.b) AS b FROM w JOIN lp"
-        " ON w.field = lp.field AND w.term = lp.term GROUP BY w.doc_id)",
-        select="SELECT t.doc_id, tag, CASE WHEN coalesce(sc.a, 0) >= coalesce(sc.b, 0) THEN '!0' ELSE '0' END AS predict"
-        " FROM train t LEFT JOIN sc ON t.doc_id = sc.doc_id",
+        select="SELECT doc_id, predict FROM judged",
     ),
 )
 def bayes_classifier(spark, sf):
-    train, _ = vectors(spark, sf)
-    return P.predict(P.fit(train, "bayes"), train).select("doc_id", "tag", "predict")
+    train, rows = vectors(spark, sf)
+    return P.predict(P.fit(train, "bayes"), rows).select("doc_id", "predict")
 
 
 @query(
@@ -87,66 +90,107 @@ def bayes_classifier(spark, sf):
     ),
 )
 def bayes_term_table(spark, sf):
-    seg = segmented_once(train_set(spark, sf))
+    seg = segmented_once(docs(spark, sf))
     stages = P.vectorizer(fitted(seg))
-    model = P.fit(P.vectorize(seg, stages), "bayes")
+    tags = train_set(spark, sf).select("doc_id", "tag")
+    model = P.fit(P.vectorize(seg, stages).join(tags, "doc_id"), "bayes")
     out = P.term_log_probability(spark, model, stages)
     return out.withColumn("logp", F.round("logp", 6))
 
 
-@query("bayes_with_thresholds", "L7")
+@query(
+    "bayes_with_thresholds",
+    "L7",
+    bayes_sql("SELECT doc_id, CASE WHEN (1 - p) / 0.3 >= p / 0.7 THEN '!0' ELSE '0' END AS predict FROM judged"),
+)
 def bayes_with_thresholds(spark, sf):
-    train, stages = vectors(spark, sf)
+    train, rows = vectors(spark, sf)
     model = P.fit_thresholds(train, {"0": 0.7, "!0": 0.3})
-    return P.predict(model, all_vectors(spark, sf, stages)).select("doc_id", "tag", "predict")
+    return P.predict(model, rows).select("doc_id", "predict")
 
 
-@query("bayes_with_cutoff", "F17 L7 X4")
+@query(
+    "bayes_with_cutoff",
+    "F17 L7 X4",
+    bayes_sql("SELECT doc_id, CASE WHEN p > 0.3 THEN '1' ELSE '0' END AS predict FROM judged"),
+)
 def bayes_with_cutoff(spark, sf):
-    train, stages = vectors(spark, sf)
-    scored = P.predict(P.fit(train, "bayes"), all_vectors(spark, sf, stages), scores=True)
-    return P.cutoff(scored, F.get("probability", F.lit(1)), 0.3).select("doc_id", "tag", "predict")
+    train, rows = vectors(spark, sf)
+    scored = P.predict(P.fit(train, "bayes"), rows, scores=True)
+    return P.cutoff(scored, F.get("probability", F.lit(1)), 0.3).select("doc_id", "predict")
 
 
 @query("tree_classifier", "L9")
 def tree_classifier(spark, sf):
-    train, stages = vectors(spark, sf)
-    model = P.fit(train, "tree", maxDepth=8)
-    return P.predict(model, all_vectors(spark, sf, stages)).select("doc_id", "tag", "predict")
+    train, rows = vectors(spark, sf)
+    return P.predict(P.fit(train, "tree"), rows).select("doc_id", "predict")
 
 
 @query("linear_svc_classifier", "L10")
 def linear_svc_classifier(spark, sf):
-    train, stages = vectors(spark, sf)
-    model = P.fit(train, "svc", maxIter=20)
-    return P.predict(model, all_vectors(spark, sf, stages)).select("doc_id", "tag", "predict")
+    train, rows = vectors(spark, sf)
+    return P.predict(P.fit(train, "svc"), rows).select("doc_id", "predict")
 
 
 @query("linear_score_classifier", "L11 F18")
 def linear_score_classifier(spark, sf):
-    train, stages = vectors(spark, sf)
-    model = P.fit(train, "linear", maxIter=20, regParam=0.1, solver="l-bfgs")
-    return P.predict(model, all_vectors(spark, sf, stages)).select("doc_id", "tag", "predict")
+    train, rows = vectors(spark, sf)
+    model = P.fit(train, "linear", regParam=0.1, solver="l-bfgs")
+    return P.predict(model, rows).select("doc_id", "predict")
+
+
+@query(
+    "linear_score_on_one_feature",
+    "L11 F18",
+    """WITH x AS (SELECT d.doc_id, n_chars::DOUBLE AS x, quality::DOUBLE AS y
+                  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+            line AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM x WHERE y IS NOT NULL)
+       SELECT doc_id, CASE WHEN a + b * x > 0.5 THEN '1' ELSE '0' END AS predict FROM x, line""",
+)
+def linear_score_on_one_feature(spark, sf):
+    """The linear score with the length of a document as its only feature."""
+    rows = table(spark, sf, "documents").select("doc_id", F.array(F.col("n_chars").cast("double")).alias("x"))
+    rows = rows.select("doc_id", array_to_vector("x").alias("features"))
+    tags = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("string").alias("tag"))
+    model = P.fit(rows.join(tags, "doc_id"), "linear", solver="normal")
+    return P.predict(model, rows).select("doc_id", "predict")
 
 
 @query("side_by_side_predictions", "F11")
 def side_by_side_predictions(spark, sf):
-    train, stages = vectors(spark, sf)
-    models = {"it_pred": P.fit(train, "bayes"), "stem_pred": P.fit(train, "svc", maxIter=10)}
-    return P.predict_all(models, all_vectors(spark, sf, stages)).select(
-        "doc_id", "tag", "it_pred", "stem_pred"
-    )
+    train, rows = vectors(spark, sf)
+    models = {"it_pred": P.fit(train, "bayes"), "stem_pred": P.fit(train, "svc")}
+    return P.predict_all(models, rows).select("doc_id", "it_pred", "stem_pred")
+
 
+@query(
+    "side_by_side_cutoffs",
+    "F11 F17",
+    bayes_sql(
+        "SELECT doc_id, predict AS it_pred, CASE WHEN (1 - p) / 0.1 >= p / 0.9 THEN '!0' ELSE '0' END AS stem_pred"
+        " FROM judged"
+    ),
+)
+def side_by_side_cutoffs(spark, sf):
+    train, rows = vectors(spark, sf)
+    models = {"it_pred": P.fit(train, "bayes"), "stem_pred": P.fit_thresholds(train, {"0": 0.9, "!0": 0.1})}
+    return P.predict_all(models, rows).select("doc_id", "it_pred", "stem_pred")
 
-@query("listed_mistakes", "L14 F6")
+
+@query(
+    "listed_mistakes",
+    "L14 F6",
+    bayes_sql(
+        "SELECT l.doc_id, CASE WHEN tag = '0' THEN '0' ELSE '!0' END AS tag, predict FROM labelled l JOIN judged j"
+        " ON l.doc_id = j.doc_id WHERE predict <> CASE WHEN tag = '0' THEN '0' ELSE '!0' END"
+    ),
+)
 def listed_mistakes(spark, sf):
-    from doctag.operators.dataset import mispredicted
+    from doctag.operators.dataset import mispredicted, one_vs_rest
 
-    train, stages = vectors(spark, sf)
-    rows = segmented(labelled_docs(spark, sf)).withColumn(
-        "tag", F.when(F.col("tag") == "0", "0").otherwise("!0")
-    )
-    done = P.predict(P.fit(train, "bayes"), P.vectorize(rows, stages))
+    train, rows = vectors(spark, sf)
+    tags = one_vs_rest(labelled_docs(spark, sf).select("doc_id", "tag"), "0")
+    done = P.predict(P.fit(train, "bayes"), rows.join(tags, "doc_id"))
     return mispredicted(done).select("doc_id", "tag", "predict")
 
 
@@ -176,14 +220,16 @@ def evaluation_in_and_out(spark, sf):
     return P.evaluate_split(train, "bayes", "doc_id", 0.3, 5)
 
 
-@query("reloaded_classifier", "S10 L8")
+@query("reloaded_classifier", "S10 L8", bayes_sql("SELECT doc_id, predict FROM judged"))
 def reloaded_classifier(spark, sf):
-    train, stages = vectors(spark, sf)
+    seg = segmented_once(docs(spark, sf))
+    stages = P.vectorizer(fitted(seg))
+    tags = train_set(spark, sf).select("doc_id", "tag")
     base = scratch_path(spark, "models")
     P.save_model(stages, f"{base}/vectors")
-    P.save_model(P.fit(train, "bayes"), f"{base}/bayes")
-    again = all_vectors(spark, sf, P.load_model(f"{base}/vectors"))
-    return P.predict(P.load_model(f"{base}/bayes"), again).select("doc_id", "tag", "predict")
+    P.save_model(P.fit(P.vectorize(seg, stages).join(tags, "doc_id"), "bayes"), f"{base}/bayes")
+    again = P.vectorize(seg, P.load_model(f"{base}/vectors"))
+    return P.predict(P.load_model(f"{base}/bayes"), again).select("doc_id", "predict")
 
 
 @query("held_out_rows", "W12 L16", "SELECT doc_id, quality FROM labels ORDER BY md5('5:' || CAST(doc_id AS VARCHAR)) LIMIT (SELECT CAST(ceil(count(*) * CAST(0.3 AS DOUBLE)) AS BIGINT) FROM labels)")
@@ -194,11 +240,11 @@ def held_out_rows(spark, sf):
 
 # --- sources and sinks: written to the shared folder and read back -------------------
 
-RAW_SQL = with_(DOCS, LABELLED, select='SELECT title, body AS "desc", tag FROM labelled')
+RAW_SQL = with_(DOCS, TAGGED, select='SELECT title, body AS "desc", tag FROM tagged')
 
 
 def raw(spark, sf):
-    return labelled_docs(spark, sf).select("title", "desc", "tag")
+    return tagged_docs(spark, sf).select("title", "desc", "tag")
 
 
 @query("json_lines", "S1 S6 M1", RAW_SQL)
@@ -213,17 +259,18 @@ def json_arrays(spark, sf):
     # A file is one list, here of the documents with neighbouring keys: at most
     # 500 of them, since the key is unique.
     path = scratch_path(spark, "arrays")
-    bundles = labelled_docs(spark, sf).groupBy(F.expr("doc_id div 500").alias("bundle")).agg(
-        F.to_json(F.collect_list(F.struct("title", "desc", "tag"))).alias("list")
+    fields = F.collect_list(F.struct("title", "desc", "tag"))
+    bundles = tagged_docs(spark, sf).groupBy(F.expr("doc_id div 500").alias("bundle")).agg(
+        F.to_json(fields, {"ignoreNullFields": "false"}).alias("list")
     )
-    bundles.write.partitionBy("bundle").text(path)
+    bundles.select("list").write.option("maxRecordsPerFile", 1).text(path)
     return D.read_json_array(spark, path).select("title", "desc", "tag")
 
 
-@query("snapshot", "S4 S5", with_(DOCS, LABELLED, select='SELECT doc_id, title, body AS "desc", tag FROM labelled'))
+@query("snapshot", "S4 S5", with_(DOCS, TAGGED, select='SELECT doc_id, title, body AS "desc", tag FROM tagged'))
 def snapshot(spark, sf):
     path = scratch_path(spark, "snapshot")
-    D.write_snapshot(labelled_docs(spark, sf), path)
+    D.write_snapshot(tagged_docs(spark, sf), path)
     return D.read_snapshot(spark, path)
 
 
@@ -238,7 +285,53 @@ def word_list(spark, sf):
     return read_word_table(spark, path)
 
 
-@query("outcome_folders", "S11 S6")
+@query(
+    "word_files",
+    "S7",
+    "WITH words AS (SELECT DISTINCT unnest(str_split(replace(text, chr(10), ' '), ' ')) AS word FROM benchmark)"
+    " SELECT doc_id, (SELECT count(*) FROM (SELECT unnest(str_split(text, ' ')) AS w) WHERE w IN (SELECT word FROM words))"
+    " AS listed FROM documents",
+)
+def word_files(spark, sf):
+    """Words of several files, counted in the documents."""
+    path = scratch_path(spark, "words")
+    words = F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("word")
+    table(spark, sf, "benchmark").repartition(4, "item_id").select(words).write.text(path)
+    known = F.array(*[F.lit(w) for w in sorted(read_word_list(spark, path))])
+    listed = F.filter(F.split("text", " "), lambda w: F.array_contains(known, w))
+    return table(spark, sf, "documents").select("doc_id", F.size(listed).cast("long").alias("listed"))
+
+
+@query(
+    "charset_file",
+    "S8 T15",
+    "WITH c AS (SELECT DISTINCT unnest(str_split(p_name, '')) AS c FROM part)"
+    " SELECT doc_id, (SELECT coalesce(string_agg(x, '' ORDER BY i), '') FROM (SELECT unnest(str_split(text, '')) AS x,"
+    " generate_subscripts(str_split(text, ''), 1) AS i) WHERE x IN (SELECT c FROM c)) AS text FROM documents",
+)
+def charset_file(spark, sf):
+    """Texts in the characters of the part names, read from files that spell every
+    second one in hex digits."""
+    path = scratch_path(spark, "charset")
+    letters = table(spark, sf, "part").select(F.explode(F.split("p_name", "")).alias("c")).distinct()
+    code = F.lpad(F.hex(F.ascii("c").cast("long")), 4, "0")
+    spelt = F.when(F.ascii("c") % 2 == 0, code).otherwise(F.col("c"))
+    letters.repartition(3, "c").select(spelt.alias("line")).write.text(path)
+    legal = read_charset(spark, path)
+    return table(spark, sf, "documents").select("doc_id", drop_illegal(F.col("text"), legal).alias("text"))
+
+
+@query(
+    "outcome_folders",
+    "S11 S6",
+    with_(
+        DOCS,
+        HITS,
+        VERDICT,
+        select='SELECT doc_id, outcome, title, body AS "desc", predict_tag, match FROM verdict'
+        " QUALIFY row_number() OVER (PARTITION BY outcome ORDER BY doc_id) <= 10",
+    ),
+)
 def outcome_folders(spark, sf):
     from doctag.operators.rules import outcome_report
     from doctag.plans.catalog.rules import tagged
@@ -249,7 +342,11 @@ def outcome_folders(spark, sf):
     return spark.read.schema(schema).json(path)
 
 
-@query("stream_tags", "R3 R4 R5 R6", None)
+@query(
+    "stream_tags",
+    "R3 R4 R5 R6",
+    with_(DOCS, HITS, VERDICT, select="SELECT doc_id, match, predict_tag FROM verdict"),
+)
 def stream_tags(spark, sf):
     """The rule tags of a stream of files, read back from its sink."""
     from doctag.plans.catalog.rules import BOOK

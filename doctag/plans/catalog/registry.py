@@ -86,6 +86,13 @@ THAI_TEXT = (
     f"thai AS (SELECT doc_id, translate(text, '{LATIN}', '{THAI_LETTERS}') AS t FROM documents)"
 )
 
+
+
+def sql_id(salt: str, of: str = "") -> str:
+    """The id of a document in the batch named ``salt``."""
+    return f"md5(concat_ws(chr(31), '{salt}', CAST({of}doc_id AS VARCHAR), title, body))"
+
+
 TH = r"\x{0E00}-\x{0E7F}"
 WS = (
     r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"

@@ -65,6 +65,19 @@ def sample_fraction_without_drawn(spark, sf):
     return S.sample(keys(spark, sf), "doc_id", 0.9, 4, ledger=drawn)[0]
 
 
+@query(
+    "sample_of_marked",
+    "W9 F8",
+    "SELECT doc_id, sampled FROM (SELECT doc_id, CASE WHEN toxic = 1 THEN NULL ELSE quality = 0 END AS sampled"
+    f" FROM labels) WHERE sampled IS NOT TRUE ORDER BY {draw(5)} LIMIT 30",
+)
+def sample_of_marked(spark, sf):
+    """Rows without a mark can be drawn, as rows that were appended have none."""
+    mark = F.when(F.col("toxic") == 1, None).otherwise(F.col("quality") == 0)
+    marked = table(spark, sf, "labels").select("doc_id", mark.alias("sampled"))
+    return S.sample(marked, "doc_id", 30, 5)[0]
+
+
 @query(
     "sample_ledger",
     "W9 J6",
@@ -110,9 +123,13 @@ def training_set_rare_label(spark, sf):
     return out.select("doc_id", "tag")
 
 
-@query("shuffled_rows", "W11", "SELECT doc_id, lang, n_chars FROM documents")
+@query(
+    "shuffled_rows",
+    "W11",
+    f"SELECT doc_id, lang, n_chars, row_number() OVER (ORDER BY {draw(1)}) AS position FROM documents",
+)
 def shuffled_rows(spark, sf):
-    return S.shuffle(keys(spark, sf), "doc_id", 1)
+    return S.shuffle(keys(spark, sf), "doc_id", 1, "position")
 
 
 SPLIT = (

@@ -19,6 +19,7 @@ from doctag.plans.catalog.registry import (
     docs,
     ngram_ctes,
     query,
+    sql_id,
     table,
     tagged_docs,
     thai_text,
@@ -220,13 +221,13 @@ def tokenized_documents(spark, sf):
         TAGGED,
         token_ctes("docs", "title", "a", 5),
         token_ctes("docs", "body", "b", 5),
-        select="SELECT t.doc_id, md5('batch-1' || title || body) AS job_id, title, body AS \"desc\", tag,"
+        select=f"SELECT t.doc_id, {sql_id('batch-1', 't.')} AS job_id, title, body AS \"desc\", tag,"
         " array_to_string(a.toks, '|') AS title_seg, array_to_string(b.toks, '|') AS desc_seg, false AS sampled"
         " FROM tagged t JOIN a ON t.doc_id = a.doc_id JOIN b ON t.doc_id = b.doc_id",
     ),
 )
 def document_set(spark, sf):
-    return preprocess(tagged_docs(spark, sf), salt="batch-1")
+    return preprocess(tagged_docs(spark, sf), salt="batch-1", key="doc_id")
 
 
 @query(

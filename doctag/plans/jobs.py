@@ -122,7 +122,7 @@ def training_job(
 ) -> tuple[PipelineModel, PipelineModel]:
     """Pre-process labelled documents, balance them for ``label``, fit the vectorizers
     unless given, fit a classifier and save both."""
-    docs = durable(preprocess(documents, salt=salt))
+    docs = durable(preprocess(documents, salt=salt, key=key))
     vectors = vectors or P.fit_vectorizer(docs)
     train = durable(P.vectorize(training_set(docs, label, key, seed), vectors))
     model = P.fit(train, kind, **params)

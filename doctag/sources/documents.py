@@ -4,23 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from doctag.schema import RAW_DOCUMENT, document_set_schema
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: StructType = RAW_DOCUMENT) -> DataFrame:
-    """Documents, one JSON object per line; a malformed line is an error."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+REQUIRED = tuple(RAW_DOCUMENT.fieldNames())
 
 
-def read_json_array(spark: SparkSession, path: str, schema: StructType = RAW_DOCUMENT) -> DataFrame:
+def _record(value: Column, schema: StructType, required: Sequence[str]) -> Column:
+    """A JSON object as a struct; a malformed one, or one without a required key, is an
+    error. A key that is there may be null."""
+    keys = F.json_object_keys(value)
+    missing = F.array_except(F.array(*[F.lit(n) for n in required]).cast("array<string>"), keys)
+    text = F.concat(F.lit("document without "), F.array_join(missing, ", "), F.lit(": "), F.left(value, F.lit(80)))
+    checked = F.when(F.size(missing) > 0, F.raise_error(text).cast("string")).otherwise(value)
+    return F.from_json(checked, schema, {"mode": "FAILFAST"})
+
+
+def read_json_lines(
+    spark: SparkSession, path: str, schema: StructType = RAW_DOCUMENT, required: Sequence[str] = REQUIRED
+) -> DataFrame:
+    """Documents, one JSON object per line; empty lines are skipped."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    return lines.select(_record(F.col("value"), schema, required).alias("_r")).select("_r.*")
+
+
+def read_json_array(
+    spark: SparkSession, path: str, schema: StructType = RAW_DOCUMENT, required: Sequence[str] = REQUIRED
+) -> DataFrame:
     """Documents in files that are one JSON list each. Such a file cannot be split
     between tasks: write large sets as JSON lines or snapshots instead."""
-    return (
-        spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", True).json(path)
-    )
+    listed = F.from_json("value", "array<string>", {"mode": "FAILFAST"})
+    listed = F.coalesce(listed, F.raise_error(F.lit("a document file is a JSON list")))
+    items = spark.read.text(path, wholetext=True).select(F.explode(listed).alias("value"))
+    return items.select(_record(F.col("value"), schema, required).alias("_r")).select("_r.*")
 
 
 def documents(

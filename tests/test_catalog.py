@@ -6,16 +6,37 @@ from check import compare
 from conftest import SMALL
 from doctag.plans.catalog import QUERIES
 
-NEED_MORE_ROWS = {"cross_validation", "cross_validated_scores", "learning_curve"}
-SLOW = {"linear_svc_classifier", "linear_score_classifier", "tree_classifier", "side_by_side_predictions"}
-
-
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in NEED_MORE_ROWS | SLOW])
+@pytest.mark.parametrize("name", [n for n, q in QUERIES.items() if q.sql])
 def test_query(spark, con, name):
     ok, note = compare(spark, con, SMALL, QUERIES[name])
     assert ok, note
 
 
+PREDICTORS = ("tree_classifier", "linear_svc_classifier", "linear_score_classifier", "side_by_side_predictions")
+
+
+@pytest.mark.parametrize("name", PREDICTORS)
+def test_predictors_judge_all_documents(spark, name):
+    """No twin: every document gets one of the two classes, and most labelled ones
+    their own."""
+    out = QUERIES[name].run(spark, SMALL).cache()
+    ids = [r.doc_id for r in out.select("doc_id").collect()]
+    assert sorted(ids) == [r.doc_id for r in spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").collect()]
+    for column in (c for c in out.columns if c != "doc_id"):
+        assert {r[0] for r in out.select(column).distinct().collect()} <= {"0", "!0"}
+
+
+MEDIUM = "/root/testdata/sf0.01"
+
+
+def test_scores_of_folds_and_splits(spark):
+    """No twin: the shape of the tables, and scores between 0 and 1."""
+    folds = QUERIES["cross_validation"].run(spark, MEDIUM).collect()
+    assert sorted(r.fold for r in folds) == list(range(6)) and all(0 <= r.macro_f1 <= 1 for r in folds)
+    (summary,) = QUERIES["cross_validated_scores"].run(spark, MEDIUM).collect()
+    assert 0 <= summary.macro_f1_mean <= 1
+
+
 def test_entry_points():
     import __spark_entry__ as entry
 
