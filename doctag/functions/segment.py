@@ -13,26 +13,42 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Beyond this the alternation gets slow and a UDF with a word set is used.
-REGEX_WORDS = 1000
+
+def word_pattern(words: Iterable[str]) -> str:
+    """A pattern for the longest of ``words`` at a place. The words share their
+    beginnings, so that a list of any length is a short walk from letter to letter."""
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for letter in word:
+            node = node.setdefault(letter, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        branches = [
+            (letter if letter.isalnum() else f"\\x{{{ord(letter):x}}}") + pattern(below)
+            for letter, below in sorted(node.items())
+            if letter
+        ]
+        if not branches:
+            return ""
+        # What ends here may also go on, and the longer word is tried first.
+        return "(?:" + "|".join(branches) + ")" + ("?" if "" in node else "")
+
+    return pattern(tree)
 
 
 def dictionary_segmenter(words: Iterable[str]) -> Callable[[Column], Column]:
     """Longest match over ``words``; characters in no word stand alone."""
-    known = sorted({w for w in words if w}, key=lambda w: (-len(w), w))
+    known = {w for w in words if w}
     if not known:
         return lambda token: F.array(token)
-    if len(known) > REGEX_WORDS:
-        raise ValueError(
-            f"{len(known)} words are too many for an expression; "
-            "use segment_tokens(column, longest_match(words))"
-        )
-    pattern = "(?s)(" + "|".join("\\Q" + w + "\\E" for w in known) + "|.)"
+    pattern = f"(?s)({word_pattern(known)}|.)"
     return lambda token: F.regexp_extract_all(token, F.lit(pattern), F.lit(1))
 
 
 def longest_match(words: Iterable[str]) -> Callable[[str], list[str]]:
-    """The same rule as a plain function, for word lists of any length."""
+    """The same rule as a plain function."""
     known = frozenset(w for w in words if w)
     longest = max(map(len, known), default=1)
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,8 +14,9 @@ from doctag.functions.clean import CleanOptions, clean
 from doctag.functions.segment import segment_tokens
 from doctag.functions.text import has_thai, let, strings
 
-# A lemma table up to this many entries is kept as a literal in the expression;
-# longer ones are joined, see doctag.operators.lemmas.
+# A lemma mapping up to this many entries is a literal in the expression. A map in an
+# expression is searched from end to end, so a longer mapping is looked up in batches
+# outside of it, with equal results; tables are joined, see doctag.operators.lemmas.
 LITERAL_LEMMAS = 500
 
 
@@ -72,10 +75,7 @@ def lemmatize(
     """Base forms of the all-English tokens that are not keywords. With
     ``skip_z`` a token with a z is left alone."""
     if len(lemmas) > LITERAL_LEMMAS:
-        raise ValueError(
-            f"{len(lemmas)} lemmas are too many for an expression; "
-            "join them with doctag.operators.lemmas.lemmatize_by_join"
-        )
+        return _lemmatize_in_batches(tokens, dict(lemmas), keywords, skip_z)
     table = F.create_map(*[F.lit(x) for pair in lemmas.items() for x in pair])
 
     def one(token):
@@ -85,6 +85,18 @@ def lemmatize(
     return F.transform(tokens, one)
 
 
+def _lemmatize_in_batches(tokens: Column, lemmas: dict[str, str], keywords, skip_z: bool) -> Column:
+    plain = re.compile("[A-Ya-y]*" if skip_z else "[A-Za-z]*")
+    kept = frozenset(keywords)
+    wanted = {t: l for t, l in lemmas.items() if plain.fullmatch(t) and t not in kept}
+
+    @F.pandas_udf("array<string>")
+    def look_up(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda row: None if row is None else [wanted.get(t, t) for t in row])
+
+    return look_up(tokens)
+
+
 def lemma_candidate(token: Column, keywords=(), skip_z: bool = True) -> Column:
     plain = token.rlike("^[A-Ya-y]*$" if skip_z else "^[A-Za-z]*$")
     return plain & ~token.isin(*keywords) if keywords else plain

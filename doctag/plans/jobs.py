@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 
 from pyspark.ml import PipelineModel
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doctag.functions.tokens import TokenOptions, token_text, tokenize
+from doctag.operators.bayes import fit_bayes, load_bayes, predict_bayes, save_bayes
 from doctag.operators.dataset import (
     apply_decisions,
     by_label,
@@ -19,7 +20,7 @@ from doctag.operators.dataset import (
 )
 from doctag.operators.rules import OUTCOMES, outcome_counts, outcome_report, tag_documents
 from doctag.operators.sampling import sample_exact, sample_fraction, training_set
-from doctag.operators.tfidf import fit_tfidf
+from doctag.operators.tfidf import fit_tfidf, load_tfidf, save_tfidf, transform_tfidf
 from doctag.operators.vocabulary import vocabulary
 from doctag.plans import training as P
 from doctag.session import durable
@@ -33,31 +34,45 @@ def with_key(df: DataFrame, key: str = "doc") -> DataFrame:
     return durable(df.withColumn(key, F.monotonically_increasing_id()))
 
 
+def load(spark: SparkSession, documents: DataFrame | str, form: str) -> DataFrame:
+    """Documents from a DataFrame, or from files of the form ``list``, ``lines`` or
+    ``snapshot``. A list is read by one task per file, so its rows are dealt out."""
+    if isinstance(documents, DataFrame):
+        return documents
+    readers = {"list": D.read_json_array, "lines": D.read_json_lines, "snapshot": D.read_snapshot}
+    if form not in readers:
+        raise ValueError(f"unknown form {form!r}, one of {sorted(readers)}")
+    docs = readers[form](spark, documents)
+    return docs.repartition(spark.sparkContext.defaultParallelism) if form == "list" else docs
+
+
 def vocabulary_job(
     spark: SparkSession,
-    documents: str,
+    documents: DataFrame | str,
     column: str,
     out: str,
     ngram: int = 5,
     options: TokenOptions = TokenOptions(),
+    form: str = "lines",
 ) -> None:
-    """Document frequency and rank of the tokens of one column of JSON lines."""
-    docs = D.read_json_lines(spark, documents)
+    """Document frequency and rank of the tokens of one column."""
+    docs = load(spark, documents, form)
     D.write_snapshot(vocabulary(docs, column, options, ngram), out)
 
 
 def vectorizer_job(
     spark: SparkSession,
-    documents: str,
+    documents: DataFrame | str,
     out: str,
     title_ngram: int = 10,
     desc_ngram: int = 5,
     max_df: float | int = 0.95,
     min_df: float | int = 0.005,
     options: TokenOptions = TokenOptions(),
+    form: str = "list",
 ) -> PipelineModel:
-    """Title and description vectorizers of the documents of a JSON list."""
-    docs = D.read_json_array(spark, documents)
+    """Title and description vectorizers of the documents."""
+    docs = load(spark, documents, form)
     seg = docs.select(
         token_text(tokenize(F.col("title"), replace(options, ngram=title_ngram))).alias("title_seg"),
         token_text(tokenize(F.col("desc"), replace(options, ngram=desc_ngram))).alias("desc_seg"),
@@ -69,15 +84,16 @@ def vectorizer_job(
 
 def rule_job(
     spark: SparkSession,
-    documents: str,
+    documents: DataFrame | str,
     rules: str,
     len_limit: int,
     out: str,
     titles: Sequence[str] = (),
+    form: str = "list",
 ) -> dict[str, int]:
-    """Tag the documents of a JSON list by a rule file; write one report folder per
-    outcome and return the number of documents of each."""
-    docs = title_contains(D.read_json_array(spark, documents), titles)
+    """Tag the documents by a rule file; write one report folder per outcome and return
+    the number of documents of each."""
+    docs = title_contains(load(spark, documents, form), titles)
     tagged = durable(tag_documents(with_key(docs), read_rule_book(spark, rules)))
     D.write_report(outcome_report(tagged, "doc", len_limit), out)
     counts = {r.outcome: r.documents for r in outcome_counts(tagged).collect()}
@@ -140,3 +156,35 @@ def prediction_job(
     data = P.vectorize(docs, P.load_model(f"{models}/vectors"))
     done = P.predict(P.load_model(f"{models}/classifier"), data)
     D.write_json_records(by_label(done, only).drop("features", "title_seg", "desc_seg"), out)
+
+
+def long_training_job(
+    spark: SparkSession,
+    documents: DataFrame,
+    key: str,
+    label: str,
+    out: str,
+    max_df: float | int | Mapping[str, float | int] = 0.95,
+    min_df: float | int | Mapping[str, float | int] = 0.005,
+    seed: int = 0,
+    options: TokenOptions = TokenOptions(ngram=5),
+) -> None:
+    """Like ``training_job`` for vocabularies of any length: TF-IDF of all documents and
+    a naive Bayes model of the balanced ones, as tables below ``out``."""
+    docs = durable(preprocess(documents, options, key=key))
+    model = fit_tfidf(docs, P.FIELDS, max_df, min_df)
+    save_tfidf(model, f"{out}/tfidf")
+    train = training_set(docs.filter(F.col("tag").isNotNull()), label, key, seed)
+    weights = transform_tfidf(train, model, key, P.FIELDS)
+    classes = sorted(r.tag for r in train.select("tag").distinct().collect())
+    save_bayes(fit_bayes(weights, train.select(key, "tag"), model.terms, key, classes), f"{out}/bayes")
+
+
+def long_prediction_job(
+    spark: SparkSession, documents: str, models: str, out: str, key: str, only: str | None = None
+) -> None:
+    """Predict a document set snapshot with the tables of ``long_training_job``."""
+    docs = D.read_snapshot(spark, documents)
+    weights = transform_tfidf(docs, load_tfidf(spark, f"{models}/tfidf"), key, P.FIELDS)
+    done = predict_bayes(weights, docs.drop("title_seg", "desc_seg"), load_bayes(spark, f"{models}/bayes"), key)
+    D.write_json_records(by_label(done, only).drop("probability"), out)

@@ -71,3 +71,21 @@ def test_review_job(spark, tmp_path):
     got = {r.doc: r.tag for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {3: "P", 5: "N", 7: "not sure", 9: "old", 11: "D", 13: "old"}
     assert [r.doc for r in rejected.collect()] == [9]
+
+
+def test_long_form_jobs(spark, tmp_path):
+    docs = spark.createDataFrame([(i, d["title"], d["desc"], d["tag"]) for i, d in enumerate(DOCS)], "doc long, title string, desc string, tag string")
+    J.long_training_job(spark, docs, "doc", "IT", str(tmp_path / "models"), min_df={"title": 1, "desc": 2})
+    write_snapshot(preprocess(docs, key="doc"), str(tmp_path / "docs"))
+    J.long_prediction_job(spark, str(tmp_path / "docs"), str(tmp_path / "models"), str(tmp_path / "all"), "doc")
+    done = spark.read.json(str(tmp_path / "all"))
+    assert done.count() == len(DOCS) and "title_seg" not in done.columns
+    assert done.filter((F.col("tag") == "IT") == (F.col("predict") == "IT")).count() >= 9
+
+
+def test_jobs_take_frames_and_lines(spark, tmp_path):
+    docs = spark.createDataFrame([(d["title"], d["desc"], d["tag"]) for d in DOCS], "title string, desc string, tag string")
+    (tmp_path / "in.json").write_text("\n".join(map(json.dumps, DOCS)))
+    a = J.vectorizer_job(spark, docs, str(tmp_path / "a"), 2, 1)
+    b = J.vectorizer_job(spark, str(tmp_path / "in.json"), str(tmp_path / "b"), 2, 1, form="lines")
+    assert sorted(a.stages[1].vocabulary) == sorted(b.stages[1].vocabulary)

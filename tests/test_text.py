@@ -145,9 +145,14 @@ def test_lemmas(column):
     ]
     full = T.TokenOptions(ngram=1, lemmas=table, lemma_skips_z=False)
     assert column(["zebras"], lambda c: T.tokenize(c, full)) == [["zebra"]]
-    many = {str(i): "x" for i in range(T.LITERAL_LEMMAS + 1)}
-    with pytest.raises(ValueError):
-        T.lemmatize(F.col("t"), many)
+    many = table | {"no" + "abcdefghij"[i % 10] * (i // 10 + 1): "x" for i in range(T.LITERAL_LEMMAS)}
+    for skip_z in (True, False):
+        few = T.TokenOptions(ngram=2, lemmas=table, keywords=("apps",), lemma_skips_z=skip_z)
+        long = T.TokenOptions(ngram=2, lemmas=many, keywords=("apps",), lemma_skips_z=skip_z)
+        texts = ["zebras Jobs apps", "", "noa jobs2"]
+        got = column(texts[:2], lambda c: T.tokenize(c, long))  # noqa: B023
+        assert got == column(texts[:2], lambda c: T.tokenize(c, few))  # noqa: B023
+    assert column(["noa jobs2"], lambda c: T.words(c, long)) == [["x", "jobs2"]]
 
 
 def test_segmenters_agree(column):
@@ -160,6 +165,14 @@ def test_segmenters_agree(column):
     assert column(["กข ab"], tagged) == [["ก", "ข", "ab"]]
 
 
+def test_long_word_lists(column):
+    rng = random.Random(4)
+    words = {"".join(rng.choice("กขคงจฉชซ") for _ in range(rng.randint(1, 6))) for _ in range(3000)}
+    texts = ["".join(rng.choice("กขคงจฉชซญ") for _ in range(30)) for _ in range(40)]
+    cut = T.TokenOptions(ngram=1, segmenter=dictionary_segmenter(words))
+    assert column(texts, lambda c: T.words(c, cut)) == [longest_match(words)(t) for t in texts]
+
+
 def test_python_tokenizer_in_the_whole_chain(column):
     words = ["กข", "กขค", "ง"]
     a = T.TokenOptions(ngram=3, segmenter=dictionary_segmenter(words), stop_th=("จ",))
