@@ -46,7 +46,78 @@ def bayes_sql(select: str) -> str:
     return with_(DOCS, LABELLED, BALANCED, BAYES, select=select)
 
 
-@query("vector_blocks", "L4 L5 J2 M9")
+# Several models at once: ``parts(s, doc_id, tag, side)`` says which balanced rows model
+# s is fitted on (side 'fit') and which it judges (any other side).
+SEVERAL = ",\n".join(
+    [
+        "cws AS (SELECT s, field, term, sum(CASE WHEN tag = '!0' THEN weight ELSE 0 END) AS a,"
+        " sum(CASE WHEN tag = '0' THEN weight ELSE 0 END) AS b FROM w JOIN parts ON w.doc_id = parts.doc_id"
+        " WHERE side = 'fit' GROUP BY s, field, term)",
+        "sets AS (SELECT s, ln(count(*) FILTER (tag = '!0') + 1) AS pa, ln(count(*) FILTER (tag = '0') + 1) AS pb"
+        " FROM parts WHERE side = 'fit' GROUP BY s)",
+        "denses AS (SELECT sets.s, idf.field, idf.term, coalesce(a, 0) AS a, coalesce(b, 0) AS b FROM sets CROSS JOIN idf"
+        " LEFT JOIN cws ON sets.s = cws.s AND idf.field = cws.field AND idf.term = cws.term)",
+        "tots AS (SELECT s, sum(a) AS a, sum(b) AS b, count(*) AS n FROM denses GROUP BY s)",
+        "lps AS (SELECT d.s, field, term, ln(d.a + 1) - ln(t.a + t.n) AS a, ln(d.b + 1) - ln(t.b + t.n) AS b"
+        " FROM denses d JOIN tots t ON d.s = t.s)",
+        "scs AS (SELECT p.s, p.side, p.doc_id, sum(weight * lps.a) AS a, sum(weight * lps.b) AS b FROM parts p"
+        " JOIN w ON p.doc_id = w.doc_id JOIN lps ON lps.s = p.s AND lps.field = w.field AND lps.term = w.term"
+        " WHERE p.side <> 'fit' GROUP BY p.s, p.side, p.doc_id)",
+        "verdicts AS (SELECT p.s, p.side, p.tag, CASE WHEN pa + coalesce(c.a, 0) >= pb + coalesce(c.b, 0) THEN '!0'"
+        " ELSE '0' END AS predict FROM parts p JOIN sets ON p.s = sets.s"
+        " LEFT JOIN scs c ON p.s = c.s AND p.side = c.side AND p.doc_id = c.doc_id WHERE p.side <> 'fit')",
+        "occur AS (SELECT s, side, tag AS label FROM verdicts UNION SELECT s, side, predict FROM verdicts)",
+        "sums AS (SELECT o.s, o.side, o.label, count(*) FILTER (v.tag = o.label AND v.predict = o.label) AS hit,"
+        " count(*) FILTER (v.predict = o.label) AS said, count(*) FILTER (v.tag = o.label) AS support"
+        " FROM occur o JOIN verdicts v ON o.s = v.s AND o.side = v.side GROUP BY o.s, o.side, o.label)",
+        "ratios AS (SELECT *, CASE WHEN said > 0 THEN hit / said ELSE 0.0 END AS p,"
+        " CASE WHEN support > 0 THEN hit / support ELSE 0.0 END AS r, 2 * hit / (said + support) AS f FROM sums)",
+        "f1s AS (SELECT s, side, avg(f) AS f1 FROM ratios GROUP BY s, side)",
+    ]
+)
+
+
+def several_sql(parts: str, select: str) -> str:
+    return with_(DOCS, LABELLED, BALANCED, BAYES, parts, SEVERAL, select=select)
+
+
+def folds_sql(k: int) -> str:
+    cuts = " + ".join(f"(r > floor(n * {j} / CAST({k} AS DOUBLE)))::INT" for j in range(1, k))
+    return (
+        "ranks AS (SELECT doc_id, tag, row_number() OVER (PARTITION BY tag ORDER BY md5('0:' || CAST(doc_id AS VARCHAR))) AS r,"
+        f" count(*) OVER (PARTITION BY tag) AS n FROM train), folds AS (SELECT doc_id, tag, {cuts} AS fold FROM ranks),"
+        " parts AS (SELECT s.fold AS s, f.doc_id, f.tag, CASE WHEN f.fold = s.fold THEN 'judge' ELSE 'fit' END AS side"
+        " FROM folds f CROSS JOIN (SELECT DISTINCT fold FROM folds) s)"
+    )
+
+
+HOLD_OUT = (
+    "ranks AS (SELECT doc_id, tag, row_number() OVER (ORDER BY md5('5:' || CAST(doc_id AS VARCHAR))) AS r,"
+    " count(*) OVER () AS n FROM train), parts AS ("
+    "SELECT 'in_sample' AS s, doc_id, tag, side FROM train CROSS JOIN (VALUES ('fit'), ('judge')) v(side)"
+    " UNION ALL SELECT 'hold_out', doc_id, tag, CASE WHEN r > ceil(n * CAST(0.3 AS DOUBLE)) THEN 'fit' ELSE 'judge' END FROM ranks)"
+)
+CURVE = (
+    "splits AS (SELECT split, doc_id, tag, row_number() OVER (PARTITION BY split ORDER BY md5(split || ':' || CAST(doc_id AS VARCHAR))) AS r,"
+    " count(*) OVER (PARTITION BY split) AS n FROM train CROSS JOIN range(2) t(split)),"
+    " kept AS (SELECT split, doc_id, tag, row_number() OVER (PARTITION BY split ORDER BY md5(split || '/size:' || CAST(doc_id AS VARCHAR))) AS r,"
+    " count(*) OVER (PARTITION BY split) AS n FROM splits WHERE r > ceil(n * CAST(0.2 AS DOUBLE))),"
+    " sizes AS (SELECT unnest([0.2, 0.4, 0.6, 0.8, 1.0])::DOUBLE AS size),"
+    " parts AS (SELECT {s: split, size: size} AS s, doc_id, tag, side FROM kept CROSS JOIN sizes"
+    " CROSS JOIN (VALUES ('fit'), ('train')) v(side) WHERE r <= floor(n * size)"
+    " UNION ALL SELECT {s: split, size: size}, doc_id, tag, 'valid' FROM splits CROSS JOIN sizes"
+    " WHERE r <= ceil(n * CAST(0.2 AS DOUBLE)))"
+)
+
+
+@query(
+    "vector_blocks",
+    "L4 L5 J2 M9",
+    bayes_sql(
+        "SELECT t.doc_id, (SELECT count(*) FROM idf)::INTEGER AS size, count(w.term)::INTEGER AS used,"
+        " round(coalesce(sum(weight * weight), 0), 6) AS square FROM train t LEFT JOIN w ON t.doc_id = w.doc_id GROUP BY t.doc_id"
+    ),
+)
 def vector_blocks(spark, sf):
     train, _ = vectors(spark, sf)
     from pyspark.ml.functions import vector_to_array
@@ -194,30 +265,62 @@ def listed_mistakes(spark, sf):
     return mispredicted(done).select("doc_id", "tag", "predict")
 
 
-@query("cross_validation", "L12 A8 W13 M11")
+@query(
+    "cross_validation",
+    "L12 A8 W13 M11",
+    several_sql(folds_sql(6), "SELECT s AS fold, round(f1, 6) AS macro_f1 FROM f1s"),
+)
 def cross_validation(spark, sf):
     train, _ = vectors(spark, sf)
     scores = P.cross_val_f1(train, "bayes", "doc_id", 6)
     return scores.withColumn("macro_f1", F.round("macro_f1", 6))
 
 
-@query("cross_validated_scores", "A9 L12")
+@query(
+    "cross_validated_scores",
+    "A9 L12",
+    several_sql(
+        folds_sql(3),
+        "SELECT 'bayes' AS kind, round(avg(f1), 6) AS macro_f1_mean, round(stddev_pop(f1), 6) AS macro_f1_std FROM f1s",
+    ),
+)
 def cross_validated_scores(spark, sf):
     train, _ = vectors(spark, sf)
     scores = P.cross_val_f1(train, "bayes", "doc_id", 3).withColumn("kind", F.lit("bayes"))
-    return M.score_summary(scores, ["kind"], ["macro_f1"])
+    out = M.score_summary(scores, ["kind"], ["macro_f1"])
+    return out.withColumns({c: F.round(c, 6) for c in ("macro_f1_mean", "macro_f1_std")})
 
 
-@query("learning_curve", "L13 W14 M11")
+@query(
+    "learning_curve",
+    "L13 W14 M11",
+    several_sql(
+        CURVE,
+        "SELECT s.size AS train_fraction, s.s::INTEGER AS split, round(max(f1) FILTER (side = 'train'), 6) AS train_score,"
+        " round(max(f1) FILTER (side = 'valid'), 6) AS valid_score FROM f1s GROUP BY s",
+    ),
+)
 def learning_curve(spark, sf):
     train, _ = vectors(spark, sf)
-    return P.learning_curve(train, "bayes", "doc_id", sizes=(0.2, 0.6, 1.0), splits=2)
+    curve = P.learning_curve(train, "bayes", "doc_id", splits=2)
+    return curve.withColumns({c: F.round(c, 6) for c in ("train_score", "valid_score")})
 
 
-@query("evaluation_in_and_out", "L16 A7")
+@query(
+    "evaluation_in_and_out",
+    "L16 A7",
+    several_sql(
+        HOLD_OUT,
+        'SELECT s AS sample, label, round(p, 6) AS "precision", round(r, 6) AS recall, round(f, 6) AS f1, support FROM ratios'
+        " UNION ALL SELECT s, 'avg / total', round(sum(p * support) / sum(support), 6),"
+        " round(sum(r * support) / sum(support), 6), round(sum(f * support) / sum(support), 6),"
+        " CAST(sum(support) AS BIGINT) FROM ratios GROUP BY s",
+    ),
+)
 def evaluation_in_and_out(spark, sf):
     train, _ = vectors(spark, sf)
-    return P.evaluate_split(train, "bayes", "doc_id", 0.3, 5)
+    out = P.evaluate_split(train, "bayes", "doc_id", 0.3, 5)
+    return out.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
 
 
 @query("reloaded_classifier", "S10 L8", bayes_sql("SELECT doc_id, predict FROM judged"))

@@ -231,7 +231,7 @@ def learning_curve(
     kind: str,
     key: str,
     sizes=(0.2, 0.4, 0.6, 0.8, 1.0),
-    splits: int = 5,
+    splits: int = 100,
     test: float = 0.2,
     label: str = "tag",
     seed: int = 0,

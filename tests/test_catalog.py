@@ -2,13 +2,19 @@
 
 import pytest
 
-from check import compare
+from check import compare, connect
 from conftest import SMALL
 from doctag.plans.catalog import QUERIES
 
+MEDIUM = "/root/testdata/sf0.01"
+# Folds and shares of the labelled rows of the smallest tables can lack a class.
+NEED_MORE_ROWS = {"cross_validation", "cross_validated_scores", "learning_curve"}
+
+
 @pytest.mark.parametrize("name", [n for n, q in QUERIES.items() if q.sql])
 def test_query(spark, con, name):
-    ok, note = compare(spark, con, SMALL, QUERIES[name])
+    more = name in NEED_MORE_ROWS
+    ok, note = compare(spark, connect(MEDIUM) if more else con, MEDIUM if more else SMALL, QUERIES[name])
     assert ok, note
 
 
@@ -26,17 +32,6 @@ def test_predictors_judge_all_documents(spark, name):
         assert {r[0] for r in out.select(column).distinct().collect()} <= {"0", "!0"}
 
 
-MEDIUM = "/root/testdata/sf0.01"
-
-
-def test_scores_of_folds_and_splits(spark):
-    """No twin: the shape of the tables, and scores between 0 and 1."""
-    folds = QUERIES["cross_validation"].run(spark, MEDIUM).collect()
-    assert sorted(r.fold for r in folds) == list(range(6)) and all(0 <= r.macro_f1 <= 1 for r in folds)
-    (summary,) = QUERIES["cross_validated_scores"].run(spark, MEDIUM).collect()
-    assert 0 <= summary.macro_f1_mean <= 1
-
-
 def test_entry_points():
     import __spark_entry__ as entry
 
