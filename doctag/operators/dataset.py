@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from doctag.functions.tokens import TokenOptions, token_text, tokenize
-from doctag.operators.order import with_row_number
+from doctag.operators.order import key_at, with_row_number
 
 DESC_MIN_CHARS = 60
 PRE_PROCESS_NGRAM = 5
@@ -38,11 +38,10 @@ def slice_rows(
     df: DataFrame, key: str, begin: int | None = None, end: int | None = None
 ) -> DataFrame:
     """Rows ``[begin, end)`` of the key order, both ends optional and counted from
-    the end when negative. Only the keys are ranked; the rows are then taken by a
-    key range that reaches the scan."""
+    the end when negative. The keys at the two ends are found by counting; the rows
+    are then taken by a key range that reaches the scan."""
     if begin is None and end is None:
         return df
-    ranked = with_row_number(df.select(key), [F.col(key)], "_n")
     if (begin or 0) < 0 or (end or 0) < 0:
         total = df.count()
         begin = max(total + begin, 0) if begin is not None and begin < 0 else begin
@@ -50,13 +49,13 @@ def slice_rows(
     first = (begin or 0) + 1
     if end is not None and end < first:
         return df.filter(F.lit(False))
-    ends = ranked.filter(F.col("_n").isin(first, *([end] if end is not None else [])))
-    found = {r["_n"]: r[key] for r in ends.collect()}
-    if first not in found:
+    low = key_at(df, key, first)
+    if low is None:
         return df.filter(F.lit(False))
-    out = df.filter(F.col(key) >= found[first])
+    out = df.filter(F.col(key) >= low)
     # An end behind the last row is no bound.
-    return out.filter(F.col(key) <= found[end]) if end in found else out
+    high = None if end is None else key_at(df, key, end)
+    return out if high is None else out.filter(F.col(key) <= high)
 
 
 def renumber(df: DataFrame, key: str, out: str = "row") -> DataFrame:

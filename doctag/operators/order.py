@@ -18,6 +18,8 @@ from doctag.session import durable
 _ROW_BITS = 33
 
 TOP_K_SALTS = 32
+# Pivots of a counting pass, and keys that the driver sorts at most.
+PIVOTS, FEW_KEYS = 256, 10_000
 
 
 def with_row_number(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFrame:
@@ -43,6 +45,32 @@ def with_row_number(df: DataFrame, order: Sequence[Column], out: str = "rank") -
     )
 
 
+def key_at(df: DataFrame, key: str, rank: int):
+    """The key at a 1-based rank of the key order; None behind the last. A pass counts
+    the keys between drawn pivots, and the next one goes on in the part that holds the
+    rank: keys are neither sorted nor stored until few are left."""
+    rows = df.select(F.col(key).alias("_key"))
+    while True:
+        drawn = rows.orderBy(F.xxhash64("_key")).limit(PIVOTS).collect()
+        pivots = sorted({r["_key"] for r in drawn})
+        if not pivots:
+            return None
+        part = F.size(F.filter(F.array(*[F.lit(p) for p in pivots]), lambda p: p < F.col("_key")))
+        counts = dict(rows.groupBy(part.alias("part")).count().collect())
+        at = 0
+        while at <= len(pivots) and rank > counts.get(at, 0):
+            rank -= counts.get(at, 0)
+            at += 1
+        if at > len(pivots):
+            return None
+        if at > 0:
+            rows = rows.filter(F.col("_key") > F.lit(pivots[at - 1]))
+        if at < len(pivots):
+            rows = rows.filter(F.col("_key") <= F.lit(pivots[at]))
+        if counts[at] <= FEW_KEYS:
+            return sorted(r["_key"] for r in rows.collect())[rank - 1]
+
+
 def top_k_per_group(
     df: DataFrame,
     groups: Sequence[str],

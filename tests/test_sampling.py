@@ -144,3 +144,17 @@ def test_decisions(spark):
     got = [r.tag for r in tagged.orderBy("id").collect()]
     assert got == ["def", "pos", "neg", "not sure", "old", "old"]
     assert ids(rejected) == [4]
+
+
+def test_key_at(spark, monkeypatch):
+    from doctag.operators import order
+
+    monkeypatch.setattr(order, "FEW_KEYS", 5)
+    monkeypatch.setattr(order, "PIVOTS", 7)
+    for values in ([], [3], list(range(0, 900, 3)), [f"k{i}é" for i in range(200)]):
+        kind = "string" if values and isinstance(values[0], str) else "long"
+        df = spark.createDataFrame([(v,) for v in values], f"k {kind}")
+        for rank in (1, 2, 77, len(values), len(values) + 1):
+            want = sorted(values)[rank - 1] if 1 <= rank <= len(values) else None
+            if rank >= 1:
+                assert order.key_at(df, "k", rank) == want
