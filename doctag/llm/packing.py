@@ -32,7 +32,8 @@ from doctag.session import durable
 VOCABULARY = "word_bpe_49k.json"
 SEQUENCE = 2048
 END_ID = 1
-GROUP_PIECES = 50_000
+# A group is held with its ids, of at most 8 KB a piece.
+GROUP_PIECES = 8192
 # Words whose ids a worker remembers, and rows that it hands on at a time.
 WORD_CACHE = 1_000_000
 ROWS_OUT = 256
