@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes handled at a time; a longer text is cut at white space near this length.
-SLICE = 1 << 20
+SLICE = 1 << 18
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}

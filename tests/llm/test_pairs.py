@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from doctag.llm.bytetext import SLICE
 from doctag.llm.components import components, roots
 from doctag.llm.embeddings import near_duplicates
 from doctag.llm.jaccard import first_of_class, jaccard_classes
@@ -272,7 +273,7 @@ def test_suffixes(spark):
 def test_suffixes_of_a_long_text(spark):
     rng = random.Random(11)
     long = "".join(rng.choice("abcdefgh ") for _ in range(2_500_000))
-    at = (1 << 20) - 30
+    at = SLICE - 30
     rows = [(1, long[at : at + 60]), (2, long)]
     got = {r.first_id: r for r in cleaned_texts(spark.createDataFrame(rows, TEXT)).collect()}
     assert [(s.start, s.length) for s in got[2].spans] == [(at, 60)] and not got[1].spans
