@@ -22,8 +22,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = durable(
         links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    before = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -32,14 +31,17 @@ def components(links: DataFrame) -> DataFrame:
         large = durable(large.filter("u <> v").distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = durable(small)
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % (1 << 40))).first()
-        if state == before:
-            break
-        before = state
-    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+        edges = durable(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+    tops = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(tops)
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, which has none itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    nodes = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return nodes.filter("down > 1 OR (down > 0 AND up > 0)").isEmpty()
 
 
 def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
