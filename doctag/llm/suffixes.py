@@ -41,14 +41,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doctag.llm.bytetext import SLICE, mixed, powers, text_buffer
-from doctag.llm.registry import query, table
-from doctag.session import durable
+from doctag.llm.registry import durable, query, ship, table
 
 LENGTH = 50
 GRAM = 20
 # Anchors that a task sorts at a time, bytes of text in one group, and the shift that
 # leaves 48 bits of a hash.
-RUN, GROUP_BYTES, DROP = 1 << 21, 1 << 25, np.uint64(16)
+RUN, GROUP_BYTES, DROP = 1 << 19, 1 << 23, np.uint64(16)
+# Rows that are made distinct at a time.
+ROWS = 2000
 LAST = np.iinfo(np.int64).max
 
 
@@ -140,9 +141,9 @@ def _repeated(docs: DataFrame, n: int, length: int, gram: int) -> DataFrame:
                 ["range", "hashes", "tags"],
             )
 
-        for batch in batches:
+        for batch in _once(batches):
             tag = batch.column(0).to_numpy().astype(np.uint64)
-            _, _, row, _, hashes = text_anchors(batch.column(1), length, gram)
+            _, _, row, _, hashes = text_anchors(batch.column(2), length, gram)
             held.append((hashes >> DROP, tag[row].astype(np.uint32)))
             if sum(len(h) for h, _ in held) >= RUN:
                 yield from flush()
@@ -164,6 +165,7 @@ def _repeated(docs: DataFrame, n: int, length: int, gram: int) -> DataFrame:
         cut = np.searchsorted(part[order], np.arange(n + 1))
         some = np.flatnonzero(np.diff(cut))
         of = [order[cut[p] : cut[p + 1]] for p in some]
+        pa.default_memory_pool().release_unused()
         return pa.table(
             {
                 "part": pa.array(some, pa.int32()),
@@ -173,7 +175,7 @@ def _repeated(docs: DataFrame, n: int, length: int, gram: int) -> DataFrame:
         )
 
     return (
-        docs.select("tag", "text")
+        _rows(docs)
         .mapInArrow(runs, "range int, hashes binary, tags binary")
         .groupBy("range")
         .applyInArrow(meet, "part int, tags binary, hashes binary")
@@ -284,21 +286,21 @@ def judge(keys, common, before, doc, length: int, gram: int) -> Iterator[tuple[n
         yield rows[order[doc[rows][order] > least]], o
 
 
-def _texts(docs: DataFrame) -> DataFrame:
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``tag, first_id, text``: the texts, once per batch of rows, with the smallest
     document id there; so that a text that very many rows share stays small."""
-
-    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = pa.table([batch.column(0).fill_null(LAST), batch.column(1), batch.column(2)], ["i", "tag", "text"])
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            part = batch.slice(at, ROWS)
+            rows = pa.table([part.column(0).fill_null(LAST), part.column(1), part.column(2)], ["i", "tag", "text"])
             rows = rows.group_by(["tag", "text"]).aggregate([("i", "min")])
             yield from rows.select(["tag", "i_min", "text"]).rename_columns(["tag", "first_id", "text"]).to_batches()
 
+
+def _rows(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     tag = F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF))
-    return docs.select(F.col("doc_id").cast("long"), tag.alias("tag"), text.alias("text")).mapInArrow(
-        once, "tag long, first_id long, text string"
-    )
+    return docs.select(F.col("doc_id").cast("long"), tag.alias("tag"), text.alias("text"))
 
 
 class _Part:
@@ -352,6 +354,7 @@ def _suffix_runs(texts: DataFrame, again: DataFrame, n: int, buckets: int, lengt
                 pick = order[cut[b] : cut[b + 1]]
                 rows.append((b, key[0].as_py(), *_run(data, offsets, row[pick], at[pick], part, length, back)))
         columns = list(zip(*rows)) or [[] for _ in names]
+        pa.default_memory_pool().release_unused()
         return pa.table([pa.array(c, t) for c, t in zip(columns, [pa.int32()] * 2 + [pa.binary()] * 7)], names)
 
     return texts.groupBy("part").cogroup(again.groupBy("part")).applyInArrow(runs, RUN_ROW)
@@ -415,6 +418,7 @@ def _marks(runs: DataFrame, length: int, gram: int) -> DataFrame:
         hit = hit[np.argsort(owner[hit], kind="stable")]
         first = np.flatnonzero(np.r_[True, np.diff(owner[hit]) != 0]) if len(hit) else hit
         out = [hit[a:b] for a, b in zip(first, np.append(first[1:], len(hit)))]
+        pa.default_memory_pool().release_unused()
         return pa.table(
             [
                 pa.array([parts[owner[o[0]]] for o in out], pa.int32()),
@@ -454,6 +458,7 @@ def _cut(texts: DataFrame, marks: DataFrame, length: int, gram: int) -> DataFram
             begin, end = np.flatnonzero(edge > 0), np.flatnonzero(edge < 0)
             spans = [{"start": a, "length": b - a} for a, b in zip(begin.tolist(), end.tolist())]
             rows.append((digest.hex(), first_id, len(data), spans, data[~gone].tobytes()))
+        pa.default_memory_pool().release_unused()
         span = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
         types = [pa.string(), pa.int64(), pa.int64(), span, pa.binary()]
         columns = list(zip(*rows)) or [[] for _ in types]
@@ -466,14 +471,16 @@ def cleaned_texts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     """``digest, first_id, n_bytes, spans, kept``: every different text of ``docs(doc_id,
     text)``, by its md5, as its first document keeps it: the spans that go and the
     bytes that stay. Further copies keep nothing if they have ``length`` bytes."""
+    ship(docs.sparkSession)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(n, -(-total // GROUP_BYTES))
 
     def parted() -> DataFrame:
-        return _texts(docs).withColumn("part", F.pmod("tag", F.lit(n)).cast("int"))
+        texts = _rows(docs).mapInArrow(_once, "tag long, first_id long, text string")
+        return texts.withColumn("part", F.pmod("tag", F.lit(n)).cast("int"))
 
-    again = durable(_repeated(_texts(docs), n, length, gram))
+    again = durable(_repeated(docs, n, length, gram))
     runs = _suffix_runs(parted(), again, n, n, length, gram)
     marks = durable(_marks(runs, length, gram))
     return _cut(parted(), marks, length, gram)
