@@ -6,9 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from doctag.session import durable
-
-
+from doctag.llm.registry import durable
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``links(a, b)``: the smallest node that
     can be reached. Nodes can be of any ordered type.

@@ -31,9 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doctag.llm.components import components, roots
-from doctag.llm.registry import query, table
+from doctag.llm.registry import durable, query, ship, table
 from doctag.llm.topk import usable
-from doctag.session import durable
 
 COSINE = 0.93
 TARGET_RECALL = 0.995
@@ -176,6 +175,7 @@ def near_duplicates(
     vectors: DataFrame, cosine: float = COSINE, recall: float = TARGET_RECALL
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of ``vectors(vec_id, label, vector)``."""
+    ship(vectors.sparkSession)
     rows = vectors.select("vec_id", F.col("label").cast("int"), F.col("vector").cast("array<double>"))
     fit = usable(F.col("vector")) & F.exists("vector", lambda x: x != 0) & F.col("vec_id").isNotNull()
     rows = durable(rows.withColumn("_fit", F.coalesce(fit & F.col("label").isNotNull(), F.lit(False))))

@@ -21,9 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doctag.llm.registry import query, table
+from doctag.llm.registry import durable, query, table
 from doctag.operators.order import with_row_number
-from doctag.session import durable
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)

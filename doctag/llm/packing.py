@@ -26,8 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from doctag.llm.registry import query, table
-from doctag.session import durable
+from doctag.llm.registry import durable, query, ship, table
 
 VOCABULARY = "word_bpe_49k.json"
 SEQUENCE = 2048
@@ -100,6 +99,7 @@ def token_pieces(
     """``doc_id, start, length, doc_tokens, ids``: every document's ids and the
     end id, cut at multiples of ``sequence``. ``vocabulary`` is the path of a
     tokenizers file; its text, a few MB, goes to the workers."""
+    ship(docs.sparkSession)
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     spec = docs.sparkSession.sparkContext.broadcast(Path(path).read_text(encoding="utf-8"))
     end = np.array([end_id], "<u4").tobytes()
@@ -162,6 +162,7 @@ def pack(
     ``sequence``. The pieces are stored first: they are counted, and a lost task
     must find its group again. A group is drawn from the number that a row got when
     it was stored, so no key, however frequent, makes a group large."""
+    ship(pieces.sparkSession)
     stored = durable(pieces.withColumn("_row", F.monotonically_increasing_id()))
     groups = max(1, -(-stored.count() // group_pieces))
     schema = T.StructType(

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doctag.llm import bytetext
-from doctag.llm.registry import query, table
+from doctag.llm.registry import query, ship, table
 
 ROWS = 1 << 15
 DIMENSIONS = 64
@@ -90,6 +90,7 @@ def word_table(docs: DataFrame) -> np.ndarray:
     """Unit word vectors, ``ROWS x DIMENSIONS``. A task sums its documents up in a
     table of that size and hands it on in blocks; blocks are added as a stream,
     and the result is of the same fixed size."""
+    ship(docs.sparkSession)
     schema = "block int, sums binary"
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,6 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityMode
 def score(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``score`` and ``predicted`` added. The model, whose size is fixed
     by its parameters, is broadcast; documents are neither shuffled nor stored."""
+    ship(docs.sparkSession)
     keep = [f for f in docs.schema.fields if f.name not in ("score", "predicted")]
     schema = T.StructType(
         [*keep, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]

@@ -29,8 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doctag.llm.registry import query, table
-from doctag.session import durable
+from doctag.llm.registry import durable, query, table
 
 # Patterns in the common part of Java and RE2 syntax; case is written out.
 ASSIGN = (

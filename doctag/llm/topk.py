@@ -26,8 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from doctag.llm.registry import query, table
-from doctag.session import durable
+from doctag.llm.registry import durable, query, ship, table
 
 SCALE = 64
 CANDIDATES = 1 << 14
@@ -108,6 +107,7 @@ def best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndar
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score`` of ``vectors(vec_id, vector)``, where
     ``vector`` is an array of whole doubles."""
+    ship(vectors.sparkSession)
     rows = durable(vectors.withColumn("_query", F.coalesce(is_query, F.lit(False))))
     asked = durable(rows.filter("_query").groupBy("vec_id").agg(F.min("vector").alias("vector")))
     n, n_queries = rows.count(), asked.count()
