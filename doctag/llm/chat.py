@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doctag.llm.bytetext import text_buffer
-from doctag.llm.registry import query, table
+from doctag.llm.registry import query, ship, table
 
 ASSISTANT = "assistant"
 OPEN, HEAD, END = b"<turn ", b">\n", b"</turn>\n"
@@ -127,6 +127,7 @@ def _chunks(rows: pa.RecordBatch, part: int) -> pa.RecordBatch:
 def format_chats(rows: DataFrame) -> DataFrame:
     """``conv_id, order, text, loss`` of ``rows(conv_id, turn, role, text)``: chunks
     of formatted conversations; a conversation is its chunks by ``order``."""
+    ship(rows.sparkSession)
     order = ["conv_id", "turn", "role", "text"]
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = (
@@ -182,6 +183,7 @@ DIGEST = (
 def read_back(chunks: DataFrame) -> DataFrame:
     """A digest of every conversation, from its formatted text and mask alone. A
     hash is sequential, so a conversation is read by one task, a chunk at a time."""
+    ship(chunks.sparkSession)
     names = [c.split()[0] for c in DIGEST.split(", ")]
     types = [pa.string() if "sha256" in n else pa.int64() for n in names]
 
@@ -210,7 +212,24 @@ def read_back(chunks: DataFrame) -> DataFrame:
     )
 
 
-@query("op5_chat")
+SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+plain AS (SELECT conv_id, turn, role, text, coalesce(role, '') AS r, coalesce(text, '') AS t FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)) AS turns_sha256,
+  coalesce(sum(length(t)) FILTER (r = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)
+                  FILTER (r = 'assistant'), '')) AS loss_sha256,
+  sum(length('<turn ') + length(r) + length(regexp_replace(r, '[^\\<\n]', '', 'g')) + 2
+      + length(t) + length(regexp_replace(t, '[^\\<]', '', 'g')) + length('</turn>') + 1)::BIGINT AS formatted_chars
+FROM plain GROUP BY conv_id
+"""
+
+
+@query("op5_chat", SQL)
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one that holds control strings, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")

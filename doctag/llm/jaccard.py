@@ -35,8 +35,7 @@ from pyspark.sql import functions as F
 
 from doctag.llm import bytetext
 from doctag.llm.components import components, roots
-from doctag.llm.registry import query, table
-from doctag.session import durable
+from doctag.llm.registry import durable, query, ship, table
 
 NGRAM = 5
 THRESHOLD = 0.8
@@ -327,6 +326,7 @@ def _verify(rows: DataFrame, threshold: float, least: np.ndarray) -> DataFrame:
 def _classes(docs: DataFrame, threshold: float, n: int, tolerance: float) -> DataFrame:
     """``doc_id, ref, first, n_links`` of the documents with n-grams; ``first`` is the
     first document of the class: the one with the smallest id."""
+    ship(docs.sparkSession)
     least = least_matches(threshold, tolerance)
     signed = durable(_signed(docs, n))
     # Documents without an id come last.
@@ -434,7 +434,27 @@ def _with_sets(docs: DataFrame, clusters: DataFrame, n: int) -> DataFrame:
     return _grouped(dealt.select(*order), "component", "_i", "_j")
 
 
-@query("op10_jaccard")
+SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[0-9a-z_\x{80}-\x{10FFFF}]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM texts WHERE len(w) > 0)),
+sizes AS (SELECT id, count(*) AS n FROM grams GROUP BY id),
+shared AS (SELECT a.id AS a, b.id AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.id <> b.id GROUP BY a.id, b.id),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON a = x.id JOIN sizes y ON b = y.id WHERE c / (x.n + y.n - c) >= 0.8::DOUBLE),
+reached(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+firsts AS (SELECT r.a, min(t.doc_id) AS first FROM reached r JOIN texts t ON r.b = t.id GROUP BY r.a)
+SELECT t.doc_id, least(t.doc_id, f.first) AS class_id, coalesce(n, 0) AS n_links
+FROM texts t LEFT JOIN counts c ON t.id = c.a LEFT JOIN firsts f ON t.id = f.a
+"""
+
+
+@query("op10_jaccard", SQL)
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class and its links."""
     return jaccard_classes(table(spark, sf_dir, "documents"))
