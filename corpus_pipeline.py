@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doctag.llm import jaccard, lines, mixing, packing, quality
-from doctag.llm.registry import Query, table
-from doctag.session import durable
+from doctag.llm.registry import Query, durable, table
 
 # No SQL twin: the classifier is trained, and packing depends on a tokenizer.
 ORACLE_SQL: str | None = None
