@@ -22,9 +22,10 @@ beyond the limit.
 
 Defined cases: null text has no line, an empty text one empty line; a null document
 id comes before all others; repeated rows are further occurrences with the same
-document id and line number; an empty table gives an empty result. Only ``doc_id``
-and ``text`` are read; ``without_repeats`` passes other columns through, whatever
-their names.
+document id and line number; rows with one document id, or none, and different texts
+are different documents, told apart by a hash of the text; an empty table gives an
+empty result. Only ``doc_id`` and ``text`` are read; ``without_repeats`` passes other
+columns through, whatever their names.
 """
 
 from __future__ import annotations
@@ -181,8 +182,9 @@ def segment_keys(line: Column, edits: int = EDITS) -> Column:
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no, line`` of ``docs(doc_id, text)``, trimmed, from 0."""
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).withColumn(
+    """``doc_id, text_hash, line_no, line`` of ``docs(doc_id, text)``, trimmed, from 0."""
+    lines = F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")
+    return docs.select("doc_id", _hash(F.col("text")).alias("text_hash"), lines).withColumn(
         "line", F.btrim("line", F.lit(" \t\r"))
     )
 
@@ -191,8 +193,16 @@ def _hash(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("x"), F.xxhash64(F.lit(1), line).alias("y"))
 
 
+def _of_row(rows: DataFrame, known: DataFrame, how: str) -> DataFrame:
+    """``rows(doc_id, text)`` with what is ``known`` by ``doc_id, text_hash``: an id may be
+    missing or stand on several texts."""
+    known = known.withColumnsRenamed({"doc_id": "_doc", "text_hash": "_text_hash"})
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (_hash(F.col("text")) == F.col("_text_hash"))
+    return rows.join(known, same, how)
+
+
 def _links(lines: DataFrame, docs: DataFrame, edits: int) -> DataFrame:
-    """``a, b``: the links between distinct ``lines(id, doc_id, line_no, keys, hash)``."""
+    """``a, b``: the links between distinct ``lines(id, doc_id, line_no, text_hash, keys)``."""
     under = lines.select("id", F.explode("keys").alias("key"))
     several = under.groupBy("key").agg(
         F.count(F.lit(1)).alias("_n"), F.min("id").alias("_low"), F.max("id").alias("_high")
@@ -202,13 +212,11 @@ def _links(lines: DataFrame, docs: DataFrame, edits: int) -> DataFrame:
     # The texts of the candidates, from their first documents.
     wanted = met.select("id").distinct().join(lines, "id")
     places = durable(
-        wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "id", "keys", "hash")).alias("_want"))
-    ).withColumnRenamed("doc_id", "_doc")
-    found = docs.select("doc_id", "text").join(places, F.col("doc_id").eqNullSafe(F.col("_doc")))
+        wanted.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("line_no", "id", "keys")).alias("_want"))
+    )
+    found = _of_row(docs.select("doc_id", "text"), places, "inner")
     texts = found.select(F.split("text", "\n", -1).alias("_lines"), "_want").select("_lines", F.inline("_want"))
-    texts = texts.select("id", "keys", "hash", F.btrim(F.get("_lines", F.col("line_no")), F.lit(" \t\r")).alias("line"))
-    # A document id may stand on several texts: the hash tells the right one.
-    texts = texts.filter(_hash(F.col("line")) == F.col("hash")).drop("hash")
+    texts = texts.select("id", "keys", F.btrim(F.get("_lines", F.col("line_no")), F.lit(" \t\r")).alias("line"))
     rows = met.join(texts.dropDuplicates(["id"]), "id")
     count = F.ceil(F.col("_n") / BLOCK).cast("int")
     blocks = durable(
@@ -238,12 +246,18 @@ def _links(lines: DataFrame, docs: DataFrame, edits: int) -> DataFrame:
 def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """``doc_id, line_no, class_doc_id, class_line_no, n_links, kept``: every line, the
     first occurrence of its class, and how many other occurrences it is linked with."""
+    return _classes(docs, edits, least).drop("text_hash")
+
+
+def _classes(docs: DataFrame, edits: int, least: int) -> DataFrame:
+    """``line_classes`` with the ``text_hash`` that tells the rows of one document id apart."""
     line = F.col("line")
     takes_part = F.length(line) >= least
     lines = durable(
         split_lines(docs).select(
             "doc_id",
             "line_no",
+            "text_hash",
             F.when(takes_part, _hash(line)).alias("hash"),
             F.when(takes_part, segment_keys(line, edits)).alias("keys"),
         )
@@ -252,13 +266,13 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> Dat
         lines.filter("hash IS NOT NULL")
         .groupBy("hash")
         .agg(
-            F.min(F.struct("doc_id", "line_no")).alias("first"),
+            F.min(F.struct("doc_id", "line_no", "text_hash")).alias("first"),
             F.count(F.lit(1)).alias("copies"),
             F.first("keys").alias("keys"),
         )
         .withColumn("id", F.monotonically_increasing_id())
     )
-    links = durable(_links(distinct.select("id", "first.*", "keys", "hash"), docs, edits))
+    links = durable(_links(distinct.select("id", "first.*", "keys"), docs, edits))
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     copies = distinct.select(F.col("id").alias("b"), F.col("copies").alias("_c"))
     counts = both.join(copies, "b").groupBy("a").agg(F.sum("_c").alias("_links")).withColumnRenamed("a", "id")
@@ -275,11 +289,12 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> Dat
             (F.coalesce("_links", F.lit(0)) + F.col("copies") - 1).alias("_n"),
         )
     )
-    own = F.struct("doc_id", "line_no")
+    own = F.struct("doc_id", "line_no", "text_hash")
     first = F.coalesce("_first", own)
     return lines.join(known, "hash", "left").select(
         "doc_id",
         "line_no",
+        "text_hash",
         first["doc_id"].alias("class_doc_id"),
         first["line_no"].alias("class_line_no"),
         F.coalesce("_n", F.lit(0)).cast("long").alias("n_links"),
@@ -290,16 +305,15 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> Dat
 def without_repeats(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """``docs`` with the repeated lines taken out of their texts. A document that had
     lines and has lost all of them goes."""
-    classes = line_classes(docs, edits, least)
+    classes = _classes(docs, edits, least)
     gone = durable(
-        classes.filter(~F.col("kept")).groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
-    ).withColumnRenamed("doc_id", "_doc")
+        classes.filter(~F.col("kept")).groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("_gone"))
+    )
     lines = F.split("text", "\n", -1)
     places = F.sequence(F.lit(0), F.size(lines) - 1)
     left = F.filter(F.arrays_zip(lines.alias("line"), places.alias("at")), lambda x: ~F.array_contains("_gone", x["at"]))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    rows = whole.join(gone, F.col("_row.doc_id").eqNullSafe(F.col("_doc")), "left")
-    rows = rows.withColumn("text", F.col("_row.text")).withColumn(
+    rows = _of_row(whole.select("_row", "_row.doc_id", "_row.text"), gone, "left").withColumn(
         "_left", F.when(F.col("_gone").isNotNull() & F.col("text").isNotNull(), left)
     )
     text = F.when(F.col("_left").isNull(), F.col("text")).otherwise(F.array_join(F.transform("_left", lambda x: x["line"]), "\n"))

@@ -226,6 +226,22 @@ def test_lines(spark):
     assert line_classes(df.limit(0)).count() == without_repeats(df.limit(0)).count() == 0
 
 
+def test_lines_of_null_and_repeated_ids_with_different_texts(spark):
+    rng = random.Random(12)
+    line = lambda: "".join(rng.choice("abcdefghij klm") for _ in range(60)).strip()
+    again, both = line(), line()
+    rows = [(1, again)]
+    for doc_id in (None, 5):
+        rows += [(doc_id, "\n".join(line() for _ in range(4))) for _ in range(6)]
+        # A copy at line 2: line 2 of the others stays.
+        rows.append((doc_id, "\n".join([line(), line(), again, line()])))
+        # Copies at the same line: one of them stays.
+        rows += [(doc_id, both + "\n" + line()) for _ in range(2)]
+    got = without_repeats(spark.createDataFrame(rows, TEXT)).collect()
+    left = sorted(x for r in got for x in r.text.split("\n"))
+    assert left == sorted({x for _, t in rows for x in t.split("\n")})
+
+
 def test_merging_front_coded_runs():
     rng = np.random.default_rng(1)
     for _ in range(100):
