@@ -2,8 +2,11 @@ r"""Line dedup by a segment-partition edit join, in DataFrame functions only.
 
 Two lines are linked when at most ``edits`` insertions, deletions or replacements of
 code points turn one into the other; lines that links reach are a class, and only the
-first occurrence of a class stays. White space around a line does not count, and
-lines under ``least`` code points are left alone.
+first occurrence of a class stays. White space around a line does not count. Lines
+under ``least`` code points have no near copies; their exact copies are linked from
+``shortest`` code points on, and lines under both are left alone. ``line_classes`` and
+``op6_lines`` take ``least`` for both, ``without_repeats``, ``op6_lines_short`` and the
+pipeline leave out empty lines only.
 
 A line is cut into edits + 1 disjoint segments of a length that depends on its own:
 one at its start, one at its end, the others side by side after the first. One
@@ -38,6 +41,8 @@ from doctag.llm.registry import durable, query, table
 
 EDITS = 2
 LEAST = 40
+# The shortest line that can be an exact copy: all but empty ones.
+SHORTEST = 1
 # Segment lengths are multiples of this.
 STEP = 4
 # Lines of a segment that are compared with each other in one row.
@@ -243,23 +248,25 @@ def _links(lines: DataFrame, docs: DataFrame, edits: int) -> DataFrame:
     )
 
 
-def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
+def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST, shortest: int | None = None) -> DataFrame:
     """``doc_id, line_no, class_doc_id, class_line_no, n_links, kept``: every line, the
-    first occurrence of its class, and how many other occurrences it is linked with."""
-    return _classes(docs, edits, least).drop("text_hash")
+    first occurrence of its class, and how many other occurrences it is linked with.
+    Exact copies are linked from ``shortest`` code points on, or from ``least``."""
+    return _classes(docs, edits, least, least if shortest is None else shortest).drop("text_hash")
 
 
-def _classes(docs: DataFrame, edits: int, least: int) -> DataFrame:
+def _classes(docs: DataFrame, edits: int, least: int, shortest: int) -> DataFrame:
     """``line_classes`` with the ``text_hash`` that tells the rows of one document id apart."""
     line = F.col("line")
-    takes_part = F.length(line) >= least
+    has_near = F.length(line) >= least
+    takes_part = has_near | (F.length(line) >= shortest)
     lines = durable(
         split_lines(docs).select(
             "doc_id",
             "line_no",
             "text_hash",
             F.when(takes_part, _hash(line)).alias("hash"),
-            F.when(takes_part, segment_keys(line, edits)).alias("keys"),
+            F.when(has_near, segment_keys(line, edits)).alias("keys"),
         )
     )
     distinct = durable(
@@ -302,10 +309,10 @@ def _classes(docs: DataFrame, edits: int, least: int) -> DataFrame:
     )
 
 
-def without_repeats(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
+def without_repeats(docs: DataFrame, edits: int = EDITS, least: int = LEAST, shortest: int = SHORTEST) -> DataFrame:
     """``docs`` with the repeated lines taken out of their texts. A document that had
     lines and has lost all of them goes."""
-    classes = _classes(docs, edits, least)
+    classes = _classes(docs, edits, least, shortest)
     gone = durable(
         classes.filter(~F.col("kept")).groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("_gone"))
     )
@@ -359,3 +366,15 @@ FROM lines l LEFT JOIN classes c ON l.line = c.line
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line with its class and its links."""
     return line_classes(table(spark, sf_dir, "documents"))
+
+
+# The same with the exact copies of short lines: these have no links of their own.
+SHORT_SQL = SQL.replace(f"WHERE length(line) >= {LEAST} GROUP", f"WHERE length(line) >= {SHORTEST} GROUP").replace(
+    "WHERE levenshtein(a.line, b.line)", f"WHERE least(a.n, b.n) >= {LEAST} AND levenshtein(a.line, b.line)"
+)
+
+
+@query("op6_lines_short", SHORT_SQL)
+def op6_lines_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with its class and its links, exact copies of short lines included."""
+    return line_classes(table(spark, sf_dir, "documents"), shortest=SHORTEST)

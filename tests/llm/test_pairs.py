@@ -242,6 +242,17 @@ def test_lines_of_null_and_repeated_ids_with_different_texts(spark):
     assert left == sorted({x for _, t in rows for x in t.split("\n")})
 
 
+def test_exact_copies_of_short_lines(spark):
+    rows = [(1, "menu\n\nwords of one"), (2, " menu\n\nwords of two\nx"), (3, "x\nmenus\n\nmenu\t"), (4, "menu\n"), (5, "menu")]
+    df = spark.createDataFrame(rows, TEXT)
+    left = {r.doc_id: r.text for r in without_repeats(df).collect()}
+    # Empty lines stay; a near copy of a short line is a different line.
+    assert left == {1: rows[0][1], 2: "\nwords of two\nx", 3: "menus\n", 4: ""}
+    got = {(r.doc_id, r.line_no): (r.class_doc_id, r.n_links, r.kept) for r in line_classes(df, shortest=1).collect()}
+    assert got[3, 3] == (1, 4, False) and got[3, 1] == (3, 0, True) and got[3, 0] == (2, 1, False)
+    assert got[1, 1] == (1, 0, True) and got[2, 1] == (2, 0, True)
+
+
 def test_merging_front_coded_runs():
     rng = np.random.default_rng(1)
     for _ in range(100):
