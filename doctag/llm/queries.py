@@ -1,6 +1,20 @@
 """All queries of this subpackage."""
 
-from doctag.llm import chat, embeddings, jaccard, lines, mixing, packing, quality, secrets, suffixes, topk  # noqa: F401
+from doctag.llm import (  # noqa: F401
+    chat,
+    embeddings,
+    jaccard,
+    languages,
+    lines,
+    mixing,
+    negatives,
+    packing,
+    quality,
+    secrets,
+    suffixes,
+    topk,
+    trie,
+)
 from doctag.llm.registry import QUERIES
 
 __all__ = ["QUERIES"]
