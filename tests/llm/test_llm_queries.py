@@ -21,7 +21,7 @@ def test_entry_has_all_queries():
 
     names = entry.queries()
     assert "pipeline" in names and all(n in names for n in QUERIES)
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_pipeline_stages_keep_columns_and_take_effect(spark):
