@@ -24,17 +24,18 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from doctag.llm.registry import durable, query, ship, table
 
 VOCABULARY = "word_bpe_49k.json"
 SEQUENCE = 2048
 END_ID = 1
-# A group is held with its ids, of at most 8 KB a piece.
+# A group is held as lengths and row numbers alone.
 GROUP_PIECES = 8192
-# Words whose ids a worker remembers, and rows that it hands on at a time.
-WORD_CACHE = 1_000_000
+# Bytes of words and ids that a task remembers, what an entry takes besides, and the
+# longest part that is kept.
+CACHE_BYTES, ENTRY_BYTES, LONGEST_KEPT = 32 << 20, 200, 32
+# Rows that a worker hands on at a time.
 ROWS_OUT = 256
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
@@ -56,7 +57,11 @@ class WordIds(dict):
         self.vocabulary = vocabulary
         tokenizer = Tokenizer.from_str(vocabulary)
         self.encode, self.word = tokenizer.encode, tokenizer.model.tokenize
-        super().__init__({"": b""})
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self[""], self.room = b"", CACHE_BYTES
 
     def __missing__(self, part: str) -> bytes:
         if len(part) > 2 and part[-1] in ",." and part[-2].isascii() and part[-2].isalpha():
@@ -68,10 +73,12 @@ class WordIds(dict):
             ids = [token.id for token in self.word(part)]
         else:
             ids = self.encode(part, add_special_tokens=False).ids
-        if len(self) >= WORD_CACHE:
-            self.clear()
-            self[""] = b""
-        self[part] = out = np.array(ids, "<u4").tobytes()
+        out = np.array(ids, "<u4").tobytes()
+        if len(part) <= LONGEST_KEPT:
+            self.room -= ENTRY_BYTES + len(out)
+            if self.room < 0:
+                self.forget()
+            self[part] = out
         return out
 
     def of_text(self, text: str) -> bytes:
@@ -84,7 +91,8 @@ _words: list[WordIds] = []
 
 
 def _word_ids(vocabulary: str) -> WordIds:
-    """One per worker process, which Spark reuses for many tasks."""
+    """One per worker process, which Spark reuses for many tasks; what it remembers of a
+    task goes with the task."""
     if not _words or _words[0].vocabulary != vocabulary:
         _words[:] = [WordIds(vocabulary)]
     return _words[0]
@@ -107,18 +115,22 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _word_ids(spec.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_OUT):
-                part = batch.slice(at, ROWS_OUT)
-                rows = []
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1)):
-                    ids = words.of_text(text.as_py() or "") + end
-                    n = len(ids) // 4
-                    for start in range(0, len(ids), size):
-                        piece = ids[start : start + size]
-                        rows.append((doc_id, start // 4, len(piece) // 4, n, piece))
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows), TYPES)]
-                yield pa.RecordBatch.from_arrays(columns, NAMES)
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, ROWS_OUT):
+                    yield pieces_of(batch.slice(at, ROWS_OUT), words)
+        finally:
+            words.forget()
+
+    def pieces_of(part: pa.RecordBatch, words: WordIds) -> pa.RecordBatch:
+        rows = []
+        for doc_id, text in zip(part.column(0).to_pylist(), part.column(1)):
+            ids = words.of_text(text.as_py() or "") + end
+            n = len(ids) // 4
+            for start in range(0, len(ids), size):
+                piece = ids[start : start + size]
+                rows.append((doc_id, start // 4, len(piece) // 4, n, piece))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), TYPES)], NAMES)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(cut, PIECES)
 
@@ -161,23 +173,23 @@ def pack(
     """Adds ``sequence_id, offset`` to pieces with a ``length`` of at most
     ``sequence``. The pieces are stored first: they are counted, and a lost task
     must find its group again. A group is drawn from the number that a row got when
-    it was stored, so no key, however frequent, makes a group large."""
+    it was stored, so no key, however frequent, makes a group large; it is a table of
+    row numbers and lengths, and all other columns come back to the places by the row
+    number."""
     ship(pieces.sparkSession)
+    pieces = pieces.drop("sequence_id", "offset")
     stored = durable(pieces.withColumn("_row", F.monotonically_increasing_id()))
     groups = max(1, -(-stored.count() // group_pieces))
-    schema = T.StructType(
-        [*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
-    )
 
     def place(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         bins, offsets = first_fit_decreasing(group["length"].to_numpy(np.int64), sequence)
-        out = group.drop(columns=["_group", "_row"])
-        out["sequence_id"] = (int(key[0]) << 32) + bins
-        out["offset"] = offsets
-        return out
+        sequences = (int(key[0]) << 32) + bins
+        return pd.DataFrame({"_row": group["_row"], "sequence_id": sequences, "offset": offsets})
 
     drawn = F.pmod(F.xxhash64("_row"), F.lit(groups))
-    return stored.withColumn("_group", drawn).groupBy("_group").applyInPandas(place, schema)
+    lengths = stored.select("_row", F.col("length").cast("long"), drawn.alias("_group"))
+    placed = lengths.groupBy("_group").applyInPandas(place, "_row long, sequence_id long, offset long")
+    return stored.join(placed, "_row").drop("_row")
 
 
 def packed_sequences(packed: DataFrame) -> DataFrame:
