@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from doctag.functions.clean import drop_illegal
@@ -370,6 +371,19 @@ def json_arrays(spark, sf):
     return D.read_json_array(spark, path).select("title", "desc", "tag")
 
 
+@query("json_list_files", "S2", RAW_SQL)
+def json_list_files(spark, sf):
+    """All documents in lists of up to 100,000, a file each, whose splits go to different tasks."""
+    path = scratch_path(spark, "lists")
+    rows = tagged_docs(spark, sf).withColumn("list", F.expr("doc_id div 100000"))
+    order = W.partitionBy("list").orderBy("doc_id")
+    record = F.to_json(F.struct("title", "desc", "tag"), {"ignoreNullFields": "false"})
+    mark = F.when(F.lag("doc_id").over(order).isNull(), "[").otherwise(",")
+    end = F.when(F.lead("doc_id").over(order).isNull(), "]").otherwise("")
+    rows.select("list", F.concat(mark, record, end).alias("value")).write.partitionBy("list").text(path)
+    return D.read_json_array(spark, path).select("title", "desc", "tag")
+
+
 @query("snapshot", "S4 S5", with_(DOCS, TAGGED, select='SELECT doc_id, title, body AS "desc", tag FROM tagged'))
 def snapshot(spark, sf):
     path = scratch_path(spark, "snapshot")

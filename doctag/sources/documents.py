@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from doctag.schema import RAW_DOCUMENT, document_set_schema
+from doctag.sources.json_lists import read_list_items
 
 
 REQUIRED = tuple(RAW_DOCUMENT.fieldNames())
@@ -35,11 +36,9 @@ def read_json_lines(
 def read_json_array(
     spark: SparkSession, path: str, schema: StructType = RAW_DOCUMENT, required: Sequence[str] = REQUIRED
 ) -> DataFrame:
-    """Documents in files that are one JSON list each. Such a file cannot be split
-    between tasks: write large sets as JSON lines or snapshots instead."""
-    listed = F.from_json("value", "array<string>", {"mode": "FAILFAST"})
-    listed = F.coalesce(listed, F.raise_error(F.lit("a document file is a JSON list")))
-    items = spark.read.text(path, wholetext=True).select(F.explode(listed).alias("value"))
+    """Documents in files that are one JSON list each. A large file is read by several
+    tasks, see :mod:`doctag.sources.json_lists`; one that is no list is an error at once."""
+    items = read_list_items(spark, path)
     return items.select(_record(F.col("value"), schema, required).alias("_r")).select("_r.*")
 
 
