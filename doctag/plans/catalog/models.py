@@ -7,12 +7,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from doctag.functions.clean import drop_illegal
+from doctag.operators import many_bayes
 from doctag.operators import metrics as M
+from doctag.operators import tfidf as X
 from doctag.operators.sampling import split_exact
 from doctag.plans import training as P
 from doctag.plans.catalog.features import (
     BALANCED,
     BAYES,
+    FIELDS,
     fitted,
     segmented_once,
     train_set,
@@ -100,7 +103,7 @@ HOLD_OUT = (
 )
 CURVE = (
     "splits AS (SELECT split, doc_id, tag, row_number() OVER (PARTITION BY split ORDER BY md5(split || ':' || CAST(doc_id AS VARCHAR))) AS r,"
-    " count(*) OVER (PARTITION BY split) AS n FROM train CROSS JOIN range(2) t(split)),"
+    " count(*) OVER (PARTITION BY split) AS n FROM train CROSS JOIN range(100) t(split)),"
     " kept AS (SELECT split, doc_id, tag, row_number() OVER (PARTITION BY split ORDER BY md5(split || '/size:' || CAST(doc_id AS VARCHAR))) AS r,"
     " count(*) OVER (PARTITION BY split) AS n FROM splits WHERE r > ceil(n * CAST(0.2 AS DOUBLE))),"
     " sizes AS (SELECT unnest([0.2, 0.4, 0.6, 0.8, 1.0])::DOUBLE AS size),"
@@ -302,8 +305,12 @@ def cross_validated_scores(spark, sf):
     ),
 )
 def learning_curve(spark, sf):
-    train, _ = vectors(spark, sf)
-    curve = P.learning_curve(train, "bayes", "doc_id", splits=2)
+    """Five sizes in 100 splits."""
+    seg = segmented_once(docs(spark, sf))
+    model = fitted(seg)
+    weights = X.transform_tfidf(seg, model, "doc_id", FIELDS)
+    labels = durable(train_set(spark, sf).select("doc_id", "tag"))
+    curve = many_bayes.learning_curve(weights, labels, model.terms.count(), "doc_id", splits=100)
     return curve.withColumns({c: F.round(c, 6) for c in ("train_score", "valid_score")})
 
 

@@ -171,11 +171,11 @@ def stratified_folds(spark, sf):
 @query(
     "shuffle_splits",
     "W14",
-    """WITH s AS (SELECT doc_id, unnest(range(0, 10)) AS split FROM labels),
+    """WITH s AS (SELECT doc_id, unnest(range(0, 100)) AS split FROM labels),
 r AS (SELECT doc_id, split, row_number() OVER (PARTITION BY split
         ORDER BY md5(CAST(split AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR))) AS r,
         count(*) OVER (PARTITION BY split) AS n FROM s)
 SELECT doc_id, CAST(split AS INTEGER) AS split, r <= ceil(n * CAST(0.2 AS DOUBLE)) AS is_test FROM r""",
 )
 def shuffle_splits(spark, sf):
-    return S.shuffle_splits(table(spark, sf, "labels").select("doc_id"), "doc_id", 10, 0.2, 0)
+    return S.shuffle_splits(table(spark, sf, "labels").select("doc_id"), "doc_id", 100, 0.2, 0)
