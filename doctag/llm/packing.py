@@ -15,6 +15,8 @@ other columns cannot clash; ``pack`` passes the columns of its pieces through.
 from __future__ import annotations
 
 import os
+import re
+import struct
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -32,12 +34,19 @@ SEQUENCE = 2048
 END_ID = 1
 # A group is held as lengths and row numbers alone.
 GROUP_PIECES = 8192
-# Bytes of words and ids that a task remembers, what an entry takes besides, and the
+# Bytes of words and ids that a worker remembers, what an entry takes besides, and the
 # longest part that is kept.
-CACHE_BYTES, ENTRY_BYTES, LONGEST_KEPT = 32 << 20, 200, 32
+CACHE_BYTES, ENTRY_BYTES, LONGEST_KEPT = 96 << 20, 160, 32
 # Rows that a worker hands on at a time.
 ROWS_OUT = 256
 
+# Lower-case letters that no normal form changes.
+LATIN = re.compile("[a-zß-öø-ÿ]+")
+# The letters that byte-level tokenizers write for bytes: printable ones stand for themselves,
+# the rest for the code points from 256 on.
+PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LETTERS = {b: 0x100 + i for i, b in enumerate(sorted({*range(0x100)} - {*PRINTABLE}))}
+
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
@@ -47,8 +56,9 @@ class WordIds(dict):
     The tokenizer drops white space and never joins across it, so a text's ids
     are those of its space-free parts. It also separates a letter from a comma
     or full stop that ends the part, which lets the stem be remembered once, and
-    lowers case. A part of lower-case ASCII letters is one word to it, so that its
-    model can be asked directly; all others go through the whole tokenizer."""
+    lowers case. A part of Latin letters is one word to it, so that its model can be asked
+    directly, in the letters that it has for bytes; all others go through the whole
+    tokenizer."""
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
@@ -57,27 +67,35 @@ class WordIds(dict):
         self.vocabulary = vocabulary
         tokenizer = Tokenizer.from_str(vocabulary)
         self.encode, self.word = tokenizer.encode, tokenizer.model.tokenize
-        self.forget()
+        self.older: dict[str, bytes] = {}
+        self.age()
 
-    def forget(self) -> None:
+    def age(self) -> None:
+        """Words that were not asked for since the last time are forgotten."""
+        self.older = dict(self)
         self.clear()
-        self[""], self.room = b"", CACHE_BYTES
+        self[""], self.room = b"", CACHE_BYTES // 2
 
     def __missing__(self, part: str) -> bytes:
-        if len(part) > 2 and part[-1] in ",." and part[-2].isascii() and part[-2].isalpha():
+        out = self.older.get(part)
+        if out is not None:
+            return self.keep(part, out)
+        if len(part) > 2 and part[-1] in ",." and LATIN.fullmatch(part[-2].lower()):
             return self[part[:-1]] + self[part[-1]]
-        if part.isascii() and part.isalpha():
-            lower = part.lower()
+        lower = part.lower()
+        if LATIN.fullmatch(lower):
             if lower != part:
                 return self[lower]
-            ids = [token.id for token in self.word(part)]
+            ids = [token.id for token in self.word(lower.encode().decode("latin-1").translate(BYTE_LETTERS))]
         else:
             ids = self.encode(part, add_special_tokens=False).ids
-        out = np.array(ids, "<u4").tobytes()
+        return self.keep(part, struct.pack(f"<{len(ids)}I", *ids))
+
+    def keep(self, part: str, out: bytes) -> bytes:
         if len(part) <= LONGEST_KEPT:
             self.room -= ENTRY_BYTES + len(out)
             if self.room < 0:
-                self.forget()
+                self.age()
             self[part] = out
         return out
 
@@ -91,8 +109,8 @@ _words: list[WordIds] = []
 
 
 def _word_ids(vocabulary: str) -> WordIds:
-    """One per worker process, which Spark reuses for many tasks; what it remembers of a
-    task goes with the task."""
+    """One per worker process, which Spark reuses for many tasks. Tasks share what it
+    remembers, which is bounded by bytes."""
     if not _words or _words[0].vocabulary != vocabulary:
         _words[:] = [WordIds(vocabulary)]
     return _words[0]
@@ -115,12 +133,9 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _word_ids(spec.value)
-        try:
-            for batch in batches:
-                for at in range(0, batch.num_rows, ROWS_OUT):
-                    yield pieces_of(batch.slice(at, ROWS_OUT), words)
-        finally:
-            words.forget()
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_OUT):
+                yield pieces_of(batch.slice(at, ROWS_OUT), words)
 
     def pieces_of(part: pa.RecordBatch, words: WordIds) -> pa.RecordBatch:
         rows = []

@@ -78,12 +78,25 @@ def test_ids_are_those_of_the_tokenizer():
     text = vocabulary()
     words, whole = WordIds(text), Tokenizer.from_str(text)
     rng = random.Random(1)
-    parts = ["a", "B", "é", "é", "'", "'s", "'LL", " ", "\n", "\t", "\x0b", "\xa0", ",", "..", "1", "½", "İ", "Σ", "中", "<|endoftext|>", "<|", "ﬁ", "🙂", "\x00"]
+    parts = ["a", "B", "é", "é", "'", "'s", "'LL", " ", "\n", "\t", "\x0b", "\xa0", ",", "..", "1", "½", "İ", "Σ", "中", "<|endoftext|>", "<|", "ﬁ", "🙂", "\x00", "É", "ÿ", "ß", "ª", "ñandú", "ç", "K", "\u0301", "."]
     for _ in range(3000):
         t = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
         assert np.frombuffer(words.of_text(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
 
 
+def test_remembered_words_are_bounded(monkeypatch):
+    """Words may be forgotten at any time, long ones are never kept, and ids stay right."""
+    from doctag.llm import packing
+
+    monkeypatch.setattr(packing, "CACHE_BYTES", 4000)
+    words, whole = WordIds(vocabulary()), WordIds(vocabulary())
+    rng = random.Random(4)
+    for i in range(400):
+        text = " ".join(f"{rng.choice(['ab', 'Été', 'x,'])}{rng.randrange(60)}" for _ in range(9)) + " " + "long" * 9 + str(i)
+        assert words.of_text(text) == b"".join(whole.of_text(w) for w in text.split(" "))
+        assert len(words) + len(words.older) < 60 and not any(len(w) > 32 for w in (*words, *words.older))
+
+
 def test_first_fit_decreasing_is_first_fit():
     rng = np.random.default_rng(3)
     for _ in range(20):
