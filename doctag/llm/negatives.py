@@ -32,7 +32,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -48,11 +47,14 @@ POSITIVES, NEGATIVES = 5, 10
 #: A negative's score in hundredths of the positive's.
 LOW, HIGH = 30, 90
 SCALE = 256
-BLOCK = 4096
+BLOCK = 1 << 14
 #: Blocks are laid around at most this many drawn rows.
 MAX_PIVOTS = 256
-LEAF = 16
-ANCHORS = 2048
+LEAF, ANCHORS = 16, 2048
+# Anchors that share the scores of centers, and nodes that one expands at a time, at first.
+BATCH, FRONT = 64, 256
+# Tasks that searches are dealt to at most.
+TASKS = 10_000
 # Roots that meet a group of anchors at a time, and rows whose pivot is found at a time.
 ROOTS, ROWS = 4096, 1024
 # Angles of float arithmetic are trusted to this share of the largest score.
@@ -101,7 +103,7 @@ def build(points: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> Tree:
         members = place[start:end].copy()
         away = np.sqrt(((x[members] - x[members[0]]) ** 2).sum(1)) if len(members) else np.zeros(1)
         radius = nodes[at][4] = float(away.max())
-        if len(members) > LEAF and radius > 1e-9 * norm:
+        if len(members) > LEAF and radius > 0:
             # The next level's scale: the power of two below the radius.
             scale = 2.0 ** (np.ceil(np.log2(radius)) - 1)
             nodes[at][2] = len(nodes)
@@ -141,74 +143,102 @@ def bounds(center: np.ndarray, angle: np.ndarray, most: float) -> tuple[np.ndarr
     return most * np.cos(np.minimum(to + angle, np.pi)) - slack, most * np.cos(np.maximum(to - angle, 0)) + slack
 
 
+def _loose(value: int | float, away: float) -> float:
+    """The value as a float, moved outwards where a float may not hold it."""
+    return float(value) if abs(value) < 2**53 else float(np.nextafter(float(value), away))
+
+
 class Best:
     """The k best of each window of scores, ties by the smaller id."""
 
     def __init__(self, windows: list[tuple[int, int]], k: int):
-        self.k, self.low, self.high = k, [w[0] for w in windows], [w[1] for w in windows]
-        self.floor = np.array(self.low, float)
-        self.ceiling = np.array(self.high, float)
-        self.found = [(np.zeros(0, object), np.zeros(0, np.int64)) for _ in windows]
+        self.k, self.windows = k, windows
+        # No score below the floor, or above the ceiling, can matter to a window.
+        self.floor = np.array([_loose(low, -np.inf) for low, _ in windows])
+        self.ceiling = np.array([_loose(high, np.inf) for _, high in windows])
+        self.found = [(np.zeros(0), np.zeros(0, np.int64)) for _ in windows]
 
     def offer(self, scores: np.ndarray, ids: np.ndarray) -> None:
         """Scores are whole numbers: floats that hold them exactly, or ints."""
-        for w, (low, high) in enumerate(zip(self.low, self.high)):
-            use = np.flatnonzero((scores >= max(low, self.floor[w])) & (scores <= high))
+        use = (scores >= self.floor.min()) & (scores <= self.ceiling.max())
+        scores, ids = scores[use], ids[use]
+        for w, (low, high) in enumerate(self.windows) if len(ids) else ():
+            use = np.flatnonzero((scores >= self.floor[w]) & (scores >= low) & (scores <= high))
+            if len(use) > self.k:
+                cut = np.partition(scores[use], len(use) - self.k)[len(use) - self.k]
+                use = use[scores[use] >= cut]
             if not len(use):
                 continue
             old, own = self.found[w]
-            score, who = np.append(old, scores[use]), np.append(own, ids[use])
-            first = sorted(range(len(who)), key=lambda i: (-score[i], who[i]))[: self.k]
+            score, who = np.append(old.astype(scores.dtype), scores[use]), np.append(own, ids[use])
+            if score.dtype == object:
+                first = sorted(range(len(who)), key=lambda i: (-score[i], who[i]))[: self.k]
+            else:
+                first = np.lexsort((who, -score))[: self.k]
             self.found[w] = score[first], who[first]
             if len(first) == self.k:
-                self.floor[w] = max(self.floor[w], float(score[first[-1]]))
+                self.floor[w] = max(self.floor[w], _loose(score[first[-1]], -np.inf))
 
     def wanted(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         return ((high[:, None] >= self.floor) & (low[:, None] <= self.ceiling)).any(1)
 
 
-def search(tree: Tree, anchor: np.ndarray, own: int, label: int, same: bool, best: Best) -> None:
-    """Best-first descent of one anchor."""
-    size = float(np.sqrt((anchor * anchor).sum()))
-    most = size * tree.norm
-    # Sums below 2^53 are exact in any order.
-    exact = most < 2**52
-
-    def scores(a: np.ndarray) -> np.ndarray:
-        if exact:
-            return a @ anchor
-        whole = a.astype(object) if not a.size else np.vectorize(int, otypes=[object])(a)
-        out = whole @ np.array([int(v) for v in anchor], object) if a.size else np.zeros(len(a), object)
-        return np.array([min(max(int(s), -(2**63)), 2**63 - 1) for s in out], object)
-
-    def verify(at: np.ndarray | slice) -> None:
-        use = (tree.labels[at] == label) == same
-        use &= tree.ids[at] != own
-        if use.any():
-            best.offer(scores(tree.points[at][use]), tree.ids[at][use])
-
-    low, high = bounds(np.array([0.0]), np.array([np.pi]), most)
-    heap = [(-float(high[0]), 0)] if best.wanted(low, high)[0] else []
-    while heap:
-        upper, node = heappop(heap)
-        if -upper < best.floor.min():
-            return
-        first, last = tree.child[node], tree.last[node]
-        if first == last:
-            verify(slice(tree.start[node], tree.end[node]))
-            continue
-        inner = np.arange(first, last)
-        counts = tree.mixed[inner] | ((tree.label[inner] == label) == same)
-        inner = inner[counts]
-        single = tree.end[inner] - tree.start[inner] == 1
-        verify(tree.start[inner[single]])
-        inner = inner[~single]
-        if len(inner):
+def ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The numbers of several ranges."""
+    size = end - start
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+class Anchors:
+    """Some anchors against one tree. The scores of a node's center are computed for all of
+    them when the first one reaches it."""
+
+    def __init__(self, tree: Tree, anchors: np.ndarray):
+        self.tree, self.anchors = tree, anchors
+        self.most = np.sqrt((anchors * anchors).sum(1)) * tree.norm
+        self.known = np.zeros(len(tree.start), bool)
+        self.centers = np.empty((len(anchors), len(tree.start)))
+
+    def center(self, nodes: np.ndarray, which: int) -> np.ndarray:
+        new = nodes[~self.known[nodes]]
+        if len(new):
             with np.errstate(over="ignore", invalid="ignore"):
-                low, high = bounds(tree.points[tree.start[inner]] @ anchor, tree.angle[inner], most)
-            use = best.wanted(low, high)
-            for upper, node in zip(high[use].tolist(), inner[use].tolist()):
-                heappush(heap, (-upper, node))
+                self.centers[:, new] = self.anchors @ self.tree.points[self.tree.start[new]].T
+            self.known[new] = True
+        return self.centers[which][nodes]
+
+    def scores(self, points: np.ndarray, which: int) -> np.ndarray:
+        """Exact scores of some points: floats, or ints beyond what those hold."""
+        # Sums below 2^53 are exact in any order.
+        if self.most[which] < 2**52:
+            return self.tree.points[points] @ self.anchors[which]
+        anchor = [int(v) for v in self.anchors[which]]
+        out = [sum(int(x) * y for x, y in zip(row, anchor)) for row in self.tree.points[points].tolist()]
+        return np.array([min(max(s, -(2**63)), 2**63 - 1) for s in out], object)
+
+    def search(self, which: int, own: int, label: int, same: bool, best: Best) -> None:
+        """Best-first descent of one anchor, some nodes at a time; the points of the leaves
+        among them are verified."""
+        tree, most = self.tree, float(self.most[which])
+        front, promise, size = np.zeros(1, np.int64), np.full(1, np.inf), FRONT
+        while len(front):
+            if len(front) > size:
+                order = np.argsort(-promise, kind="stable")
+                front, promise = front[order], promise[order]
+            now, front, promise, size = front[:size], front[size:], promise[size:], 2 * size
+            leaf = tree.child[now] == tree.last[now]
+            if leaf.any():
+                points = ranges(tree.start[now[leaf]], tree.end[now[leaf]])
+                points = points[((tree.labels[points] == label) == same) & (tree.ids[points] != own)]
+                best.offer(self.scores(points, which), tree.ids[points])
+            at = ranges(tree.child[now[~leaf]], tree.last[now[~leaf]])
+            if len(at):
+                at = at[tree.mixed[at] | ((tree.label[at] == label) == same)]
+                low, high = bounds(self.center(at, which), tree.angle[at], most)
+                use = best.wanted(low, high)
+                front, promise = np.append(front, at[use]), np.append(promise, high[use])
+            use = promise >= best.floor.min()
+            front, promise = front[use], promise[use]
 
 
 TREE = (
@@ -266,13 +296,15 @@ def _search(same: bool, k: int, width: int):
         """Anchors against the tree of one block."""
         out: list[tuple] = []
         tree = _load(trees.iloc[0], width) if len(trees) and len(asked) else None
-        for own, label, vector, lows, highs, marks in zip(
-            *(asked[c] for c in ("vec_id", "label", "vector", "lows", "highs", "marks")) if tree else [()] * 6
-        ):
-            best = Best([(int(a), int(b)) for a, b in zip(lows, highs)], k)
-            search(tree, matrix([vector], width)[0], own, label, same, best)
-            for mark, (score, who) in zip(marks, best.found):
-                out += [(own, mark, int(i), int(s)) for s, i in zip(score, who)]
+        for at in range(0, len(asked) if tree else 0, BATCH):
+            rows = asked.iloc[at : at + BATCH]
+            some = Anchors(tree, matrix(list(rows["vector"]), width))
+            columns = (rows[c] for c in ("vec_id", "label", "lows", "highs", "marks"))
+            for which, (own, label, lows, highs, marks) in enumerate(zip(*columns)):
+                best = Best([(int(a), int(b)) for a, b in zip(lows, highs)], k)
+                some.search(which, own, label, same, best)
+                for mark, (score, who) in zip(marks, best.found):
+                    out += [(own, mark, int(i), int(s)) for s, i in zip(score, who)]
         return pd.DataFrame(out, columns=[c.split()[0] for c in FOUND.split(", ")], dtype=np.int64)
 
     return meet
@@ -345,13 +377,16 @@ def hard_negatives(
 
     placed = durable(placed)
     trees = durable(placed.groupBy(*block).applyInPandas(plant, TREE))
-    groups = -(-n_asked // ANCHORS)
+    groups, n_trees = -(-n_asked // ANCHORS), trees.count()
+    tasks = min(TASKS, n_trees * groups)
     asked = asked.withColumn("_a", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int"))
     dealt = trees.withColumn("_a", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
 
     def found(some: DataFrame, same: bool, k: int) -> DataFrame:
         keys = [*block, "_a"]
-        return some.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(_search(same, k, width), FOUND)
+        # Much work for few bytes: the tasks are as many as the pairs of trees and anchor groups.
+        left, right = (side.repartition(tasks, *keys) for side in (some, dealt))
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_search(same, k, width), FOUND)
 
     def only(value: int) -> Column:
         return F.array(F.lit(value).cast("long"))
@@ -376,7 +411,7 @@ def hard_negatives(
     ).filter("_w.low <= _w.high")
     windows = windows.groupBy("vec_id").agg(F.collect_list("_w").alias("_w"))
     windows = windows.select("vec_id", *[F.col(f"_w.{c}").alias(f"{c}s") for c in ("low", "high", "mark")])
-    ruled = _ruled_in(asked.join(windows, "vec_id"), trees, width, groups, trees.count())
+    ruled = _ruled_in(asked.join(windows, "vec_id"), trees, width, groups, n_trees)
     far = found(ruled, False, negatives)
     order = W.partitionBy("anchor_id", "positive").orderBy(F.desc("score"), "vec_id")
     return (
