@@ -10,6 +10,7 @@ from doctag.functions.clean import drop_illegal
 from doctag.operators import many_bayes
 from doctag.operators import metrics as M
 from doctag.operators import tfidf as X
+from doctag.operators import trees
 from doctag.operators.sampling import split_exact
 from doctag.plans import training as P
 from doctag.plans.catalog.features import (
@@ -18,6 +19,7 @@ from doctag.plans.catalog.features import (
     FIELDS,
     fitted,
     segmented_once,
+    tfidf_ctes,
     train_set,
 )
 from doctag.plans.catalog.rules import HITS, VERDICT
@@ -201,6 +203,85 @@ def tree_classifier(spark, sf):
     return P.predict(P.fit(train, "tree"), rows).select("doc_id", "predict")
 
 
+# A tree over long-form weights, grown by the same rule: level l has the rows of ``at{l}``.
+def tree_sql(depth: int) -> list[str]:
+    out = [
+        "steps AS (SELECT doc_id, field, term, CAST(ceil(round(weight * 32, 6)) AS INTEGER) AS step FROM w WHERE weight > 0)",
+        "at0 AS (SELECT doc_id, 1::BIGINT AS node FROM docs)",
+    ]
+    for level in range(depth):
+        gain = " + ".join(
+            f"coalesce(({a} * {a} + {b} * {b}) / nullif({a} + {b}, 0), NULL)" for a, b in (("ra", "rb"), ("(a - ra)", "(b - rb)"))
+        )
+        out += [
+            f"of{level} AS (SELECT at{level}.doc_id, node, (tag = '!0')::INT AS a, (tag = '0')::INT AS b FROM at{level}"
+            f" JOIN train ON at{level}.doc_id = train.doc_id WHERE node >= {2**level})",
+            f"total{level} AS (SELECT node, sum(a)::DOUBLE AS a, sum(b)::DOUBLE AS b FROM of{level} GROUP BY node)",
+            f"seen{level} AS (SELECT node, field, term, step, sum(a) AS a, sum(b) AS b FROM of{level}"
+            f" JOIN steps ON of{level}.doc_id = steps.doc_id GROUP BY node, field, term, step)",
+            f"above{level} AS (SELECT node, field, term, step, sum(a) OVER s AS ra, sum(b) OVER s AS rb FROM seen{level}"
+            " WINDOW s AS (PARTITION BY node, field, term ORDER BY step DESC))",
+            f"gains{level} AS (SELECT r.node, field, term, step, a, b,"
+            f" round(({gain} - (a * a + b * b) / (a + b)) / (a + b), 12) AS gain FROM above{level} r JOIN total{level} t ON r.node = t.node)",
+            f"split{level} AS (SELECT * FROM gains{level} WHERE gain > 0"
+            " QUALIFY row_number() OVER (PARTITION BY node ORDER BY gains%d.gain DESC, field, term, step) = 1)" % level,
+            f"at{level + 1} AS (SELECT at{level}.doc_id, CASE WHEN p.node IS NULL THEN at{level}.node"
+            f" ELSE 2 * at{level}.node + (s.step IS NOT NULL)::INT END AS node FROM at{level} LEFT JOIN split{level} p ON at{level}.node = p.node"
+            f" LEFT JOIN steps s ON at{level}.doc_id = s.doc_id AND s.field = p.field AND s.term = p.term AND s.step >= p.step)",
+        ]
+    return out
+
+
+def long_tree(spark, sf, depth):
+    seg = segmented_once(docs(spark, sf))
+    weights = X.transform_tfidf(seg, fitted(seg), "doc_id", FIELDS)
+    tags = train_set(spark, sf).select("doc_id", "tag")
+    rows = durable(trees.term_rows(weights, seg.select("doc_id"), "doc_id").join(tags, "doc_id", "left"))
+    return rows, trees.fit_tree(rows, "tag", ("!0", "0"), depth)
+
+
+@query(
+    "tree_of_terms",
+    "L9",
+    with_(
+        DOCS,
+        LABELLED,
+        BALANCED,
+        tfidf_ctes(),
+        *tree_sql(2),
+        "leaves AS (SELECT at2.node, sum((tag = '!0')::INT) AS a, sum((tag = '0')::INT) AS b FROM at2"
+        " JOIN train ON at2.doc_id = train.doc_id GROUP BY at2.node)",
+        select="SELECT doc_id, CASE WHEN a >= b THEN '!0' ELSE '0' END AS predict FROM at2 LEFT JOIN leaves ON at2.node = leaves.node",
+    ),
+)
+def tree_of_terms(spark, sf):
+    """Predictions of a tree of depth 2 for all documents."""
+    rows, tree = long_tree(spark, sf, 2)
+    return trees.predict_tree(rows.drop("tag"), tree).select("doc_id", "predict")
+
+
+@query(
+    "tree_splits",
+    "L9",
+    with_(
+        DOCS,
+        LABELLED,
+        BALANCED,
+        tfidf_ctes(),
+        *tree_sql(4),
+        select=" UNION ALL ".join(
+            "SELECT node, field, term, step, a::BIGINT AS not_zero, b::BIGINT AS zero, round(gain, 9) AS gain"
+            f" FROM split{level}" for level in range(4)
+        ),
+    ),
+)
+def tree_splits(spark, sf):
+    """All splits of a tree of depth 4, with the documents of either class that they meet."""
+    nodes = long_tree(spark, sf, 4)[1].nodes.filter("term IS NOT NULL")
+    counts = [F.get("counts", F.lit(i)).alias(n) for i, n in enumerate(("not_zero", "zero"))]
+    return nodes.select("node", "field", "term", "step", *counts, F.round("gain", 9).alias("gain"))
+
+
 @query("linear_svc_classifier", "L10")
 def linear_svc_classifier(spark, sf):
     train, rows = vectors(spark, sf)
