@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, is_dataclass
 
 import pandas as pd
 from pyspark.sql import Column
@@ -42,6 +44,24 @@ class TokenOptions:
     th_tokenizer: Callable[[str], list[str]] | None = None
 
 
+def token_record(options: TokenOptions) -> str:
+    """A digest of the options; functions count by their names."""
+
+    def plain(value):
+        if is_dataclass(value):
+            return plain(asdict(value))
+        if isinstance(value, Mapping):
+            return sorted([plain(k), plain(v)] for k, v in value.items())
+        if isinstance(value, (set, frozenset)):
+            return sorted(map(plain, value))
+        if isinstance(value, (list, tuple)):
+            return [plain(v) for v in value]
+        return f"{value.__module__}.{value.__qualname__}" if callable(value) else value
+
+    text = json.dumps({name: plain(value) for name, value in vars(options).items()}, sort_keys=True)
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def words(text: Column, options: TokenOptions = TokenOptions()) -> Column:
     """Cleaned words in text order, without n-grams: ``ARRAY<STRING>``."""
     cleaned = options.cleaner(text) if options.cleaner else clean(text, options.cleaning)

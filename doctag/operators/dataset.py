@@ -9,8 +9,9 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doctag.functions.tokens import TokenOptions, token_text, tokenize
+from doctag.functions.tokens import TokenOptions, token_record, token_text, tokenize
 from doctag.operators.order import key_at, with_row_number
+from doctag.session import durable
 
 DESC_MIN_CHARS = 60
 PRE_PROCESS_NGRAM = 5
@@ -38,24 +39,29 @@ def slice_rows(
     df: DataFrame, key: str, begin: int | None = None, end: int | None = None
 ) -> DataFrame:
     """Rows ``[begin, end)`` of the key order, both ends optional and counted from
-    the end when negative. The keys at the two ends are found by counting; the rows
-    are then taken by a key range that reaches the scan."""
+    the end when negative. The key column is stored once, the keys at the two ends are
+    found by counting, and the rows are then taken by a key range that reaches the scan.
+    Null keys come first. A repeated key, null included, is not divided: all of its rows
+    are taken if one of them lies in the slice."""
     if begin is None and end is None:
         return df
+    keys = durable(df.select(key))
     if (begin or 0) < 0 or (end or 0) < 0:
-        total = df.count()
+        total = keys.count()
         begin = max(total + begin, 0) if begin is not None and begin < 0 else begin
         end = max(total + end, 0) if end is not None and end < 0 else end
     first = (begin or 0) + 1
     if end is not None and end < first:
         return df.filter(F.lit(False))
-    low = key_at(df, key, first)
-    if low is None:
-        return df.filter(F.lit(False))
-    out = df.filter(F.col(key) >= low)
+    nulls = keys.filter(F.col(key).isNull()).count()
+    if end is not None and end <= nulls:
+        return df.filter(F.col(key).isNull())
+    low = key_at(keys, key, max(first - nulls, 1))
     # An end behind the last row is no bound.
-    high = None if end is None else key_at(df, key, end)
-    return out if high is None else out.filter(F.col(key) <= high)
+    high = None if end is None else key_at(keys, key, end - nulls)
+    inside = F.lit(False) if low is None else F.col(key) >= low
+    inside = inside if high is None else inside & (F.col(key) <= high)
+    return df.filter(inside | F.col(key).isNull() if first <= nulls else inside)
 
 
 def renumber(df: DataFrame, key: str, out: str = "row") -> DataFrame:
@@ -119,17 +125,18 @@ def preprocess(
     salt: str = "",
     key: str | None = None,
 ) -> DataFrame:
-    """A document set from raw documents: id, token texts and the sampled mark.
-    Other columns are kept in front; ``key`` names the one that the ids come from."""
+    """A document set from raw documents: id, token texts and the sampled mark. The token
+    texts' columns record the options, in snapshots too. Other columns are kept in front; ``key`` names the one that the ids come from."""
     own = ("job_id", "title", "desc", "tag", "title_seg", "desc_seg", "sampled")
+    record = {"tokens": token_record(options)}
     return df.select(
         *[c for c in df.columns if c not in own],
         document_id(salt, key).alias("job_id"),
         "title",
         "desc",
         "tag",
-        token_text(tokenize(F.col("title"), options)).alias("title_seg"),
-        token_text(tokenize(F.col("desc"), options)).alias("desc_seg"),
+        token_text(tokenize(F.col("title"), options)).alias("title_seg", metadata=record),
+        token_text(tokenize(F.col("desc"), options)).alias("desc_seg", metadata=record),
         F.lit(False).alias("sampled"),
     )
 
@@ -159,9 +166,12 @@ def tokenize_documents(
     def seg(col, n):
         return token_text(tokenize(F.col(col), replace(options, ngram=n)))
 
-    return df.withColumns(
+    out = df.withColumns(
         {"title_seg": seg("title", title_ngram), "desc_seg": seg("desc", desc_ngram)}
     )
+    for col, n in (("title_seg", title_ngram), ("desc_seg", desc_ngram)):
+        out = out.withMetadata(col, {"tokens": token_record(replace(options, ngram=n))})
+    return out
 
 
 def apply_decisions(

@@ -46,27 +46,32 @@ def with_row_number(df: DataFrame, order: Sequence[Column], out: str = "rank") -
 
 
 def key_at(df: DataFrame, key: str, rank: int):
-    """The key at a 1-based rank of the key order; None behind the last. A pass counts
-    the keys between drawn pivots, and the next one goes on in the part that holds the
-    rank: keys are neither sorted nor stored until few are left."""
-    rows = df.select(F.col(key).alias("_key"))
+    """The key at a 1-based rank of the order of the keys that are not null; None behind the
+    last. A pass counts the keys at and between drawn pivots, and the next one goes on
+    between two of them: keys are neither sorted nor stored until few are left, and a
+    repeated key ends the search where it holds the rank."""
+    rows = df.select(F.col(key).alias("_key")).filter("_key IS NOT NULL")
     while True:
         drawn = rows.orderBy(F.xxhash64("_key")).limit(PIVOTS).collect()
         pivots = sorted({r["_key"] for r in drawn})
         if not pivots:
             return None
-        part = F.size(F.filter(F.array(*[F.lit(p) for p in pivots]), lambda p: p < F.col("_key")))
+        listed = F.array(*[F.lit(p) for p in pivots])
+        # Even parts lie between pivots, odd ones are a pivot.
+        part = F.size(F.filter(listed, lambda p: p < F.col("_key"))) + F.size(F.filter(listed, lambda p: p <= F.col("_key")))
         counts = dict(rows.groupBy(part.alias("part")).count().collect())
         at = 0
-        while at <= len(pivots) and rank > counts.get(at, 0):
+        while at <= 2 * len(pivots) and rank > counts.get(at, 0):
             rank -= counts.get(at, 0)
             at += 1
-        if at > len(pivots):
+        if at > 2 * len(pivots):
             return None
+        if at % 2:
+            return pivots[at // 2]
         if at > 0:
-            rows = rows.filter(F.col("_key") > F.lit(pivots[at - 1]))
-        if at < len(pivots):
-            rows = rows.filter(F.col("_key") <= F.lit(pivots[at]))
+            rows = rows.filter(F.col("_key") > F.lit(pivots[at // 2 - 1]))
+        if at < 2 * len(pivots):
+            rows = rows.filter(F.col("_key") < F.lit(pivots[at // 2]))
         if counts[at] <= FEW_KEYS:
             return sorted(r["_key"] for r in rows.collect())[rank - 1]
 

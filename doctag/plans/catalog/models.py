@@ -7,10 +7,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from doctag.functions.clean import drop_illegal
-from doctag.operators import many_bayes
+from doctag.functions.tokens import term_counts
+from doctag.operators import least_squares, many_bayes
 from doctag.operators import metrics as M
 from doctag.operators import tfidf as X
 from doctag.operators import trees
+from doctag.operators.lemmas import join_small_or_salted
 from doctag.operators.sampling import split_exact
 from doctag.plans import training as P
 from doctag.plans.catalog.features import (
@@ -36,7 +38,7 @@ from doctag.plans.catalog.registry import (
 )
 from doctag.session import durable, scratch_path
 from doctag.sources import documents as D
-from doctag.sources.lists import read_charset, read_word_list, read_word_table
+from doctag.sources.lists import read_charset, read_word_table
 
 
 def vectors(spark, sf):
@@ -312,6 +314,72 @@ def linear_score_on_one_feature(spark, sf):
     return P.predict(model, rows).select("doc_id", "predict")
 
 
+@query(
+    "least_squares_residuals",
+    "L11",
+    with_(
+        DOCS,
+        LABELLED,
+        BALANCED,
+        tfidf_ctes(),
+        select="SELECT DISTINCT field, term, 0.0::DOUBLE AS residual FROM w JOIN train ON w.doc_id = train.doc_id"
+        " UNION ALL SELECT '', '', 0.0::DOUBLE",
+    ),
+)
+def least_squares_residuals(spark, sf):
+    """What a linear score over all terms leaves of each normal equation: nothing."""
+    seg = segmented_once(docs(spark, sf))
+    weights = X.transform_tfidf(seg, fitted(seg), "doc_id", FIELDS)
+    labels = train_set(spark, sf).select("doc_id", (F.col("tag") == "0").cast("int").alias("y"))
+    model = least_squares.fit_least_squares(weights, labels, "doc_id", "y", penalty=0.1)
+    return model.terms.select("field", "term", F.abs(F.round("residual", 6)).alias("residual"))
+
+
+# Means, products about them, and Cramer's rule for three columns.
+COLUMNS3 = (
+    "x AS (SELECT d.doc_id, n_chars::DOUBLE AS a, (length(text) - length(replace(text, ' ', '')))::DOUBLE AS b,"
+    " (length(text) - length(replace(text, 'e', '')))::DOUBLE AS c, quality::DOUBLE AS z"
+    " FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
+)
+CRAMER = ",\n".join(
+    [
+        "k AS (SELECT avg(a) AS a, avg(b) AS b, avg(c) AS c, avg(z) AS z FROM x WHERE z IS NOT NULL)",
+        "s AS (SELECT "
+        + ", ".join(
+            f"sum((x.{p} - k.{p}) * (x.{q} - k.{q})) AS {p}{q}" for p, q in ("aa", "ab", "ac", "bb", "bc", "cc", "az", "bz", "cz")
+        )
+        + " FROM x CROSS JOIN k WHERE x.z IS NOT NULL)",
+        "d AS (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det FROM s)",
+        "beta AS (SELECT (az * (bb * cc - bc * bc) - ab * (bz * cc - bc * cz) + ac * (bz * bc - bb * cz)) / det AS a,"
+        " (aa * (bz * cc - bc * cz) - az * (ab * cc - bc * ac) + ac * (ab * cz - bz * ac)) / det AS b,"
+        " (aa * (bb * cz - bz * bc) - ab * (ab * cz - bz * ac) + az * (ab * bc - bb * ac)) / det AS c FROM d)",
+    ]
+)
+
+
+@query(
+    "least_squares_on_three_columns",
+    "L11 F18",
+    with_(
+        COLUMNS3,
+        CRAMER,
+        select="SELECT doc_id, round(k.z + beta.a * (x.a - k.a) + beta.b * (x.b - k.b) + beta.c * (x.c - k.c), 6) AS score"
+        " FROM x CROSS JOIN k CROSS JOIN beta",
+    ),
+)
+def least_squares_on_three_columns(spark, sf):
+    """A linear score of the lengths, spaces and letters e of a document, as three terms."""
+    rows = table(spark, sf, "documents").select("doc_id", "n_chars", "text")
+    count = lambda c: F.length("text") - F.length(F.replace("text", F.lit(c), F.lit("")))
+    named = {"chars": F.col("n_chars"), "spaces": count(" "), "letters": count("e")}
+    each = F.array(*[F.struct(F.lit("x").alias("field"), F.lit(n).alias("term"), c.cast("double").alias("weight")) for n, c in named.items()])
+    weights = durable(rows.select("doc_id", F.inline(each)))
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    model = least_squares.fit_least_squares(weights, labels, "doc_id", "quality", tolerance=1e-12)
+    out = least_squares.predict_least_squares(weights, rows.select("doc_id"), model, "doc_id")
+    return out.select("doc_id", F.round("score", 6).alias("score"))
+
+
 @query("side_by_side_predictions", "F11")
 def side_by_side_predictions(spark, sf):
     train, rows = vectors(spark, sf)
@@ -502,9 +570,12 @@ def word_files(spark, sf):
     path = scratch_path(spark, "words")
     words = F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("word")
     table(spark, sf, "benchmark").repartition(4, "item_id").select(words).write.text(path)
-    known = F.array(*[F.lit(w) for w in sorted(read_word_list(spark, path))])
-    listed = F.filter(F.split("text", " "), lambda w: F.array_contains(known, w))
-    return table(spark, sf, "documents").select("doc_id", F.size(listed).cast("long").alias("listed"))
+    known = read_word_table(spark, path)
+    texts = table(spark, sf, "documents").select("doc_id", "text")
+    # Words are counted inside of their document, and meet the list as rows.
+    each = texts.select("doc_id", F.inline(term_counts(F.split("text", " ")))).withColumnRenamed("term", "token")
+    listed = join_small_or_salted(each, known, ["token"], "inner", "doc_id").groupBy("doc_id").agg(F.sum("tf").alias("listed"))
+    return texts.select("doc_id").join(listed, "doc_id", "left").withColumn("listed", F.coalesce("listed", F.lit(0).cast("long")))
 
 
 @query(

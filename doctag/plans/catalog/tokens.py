@@ -327,3 +327,23 @@ def segmented_words_by_function(spark, sf):
     return thai_words(spark, sf).select(
         "doc_id", T.token_text(T.words(F.col("t"), options)).alias("tokens")
     )
+
+
+@query(
+    "words_by_own_cleaner",
+    "X2 T19",
+    with_(
+        "own AS (SELECT doc_id, regexp_replace(replace(text, '&', ' and '), '[^A-Za-z ]+', ' ', 'g') AS t FROM documents)",
+        words_cte("own", "kept", ("the", "of")),
+        select="SELECT doc_id, array_to_string(toks, '|') AS tokens FROM kept",
+    ),
+)
+def words_by_own_cleaner(spark, sf):
+    """Tokens of texts that another cleaner than the library's has cleaned."""
+
+    def letters(text):
+        return F.regexp_replace(F.replace(text, F.lit("&"), F.lit(" and ")), "[^A-Za-z ]+", " ")
+
+    options = T.TokenOptions(ngram=1, cleaner=letters, stop_en=("the", "of"))
+    rows = table(spark, sf, "documents").select("doc_id", "text")
+    return rows.select("doc_id", T.token_text(T.tokenize(F.col("text"), options)).alias("tokens"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,6 +126,32 @@ def review_job(
     return rejected
 
 
+def token_records(docs: DataFrame) -> dict[str, str | None]:
+    """The options that the token texts were made with, as their columns record them."""
+    return {c: docs.schema[c].metadata.get("tokens") for c in P.FIELDS.values()}
+
+
+def publish(spark: SparkSession, out: str, docs: DataFrame, **about) -> None:
+    """The manifest of a model: what it was fitted for. It is written last, so a model
+    without one is not complete."""
+    text = json.dumps({"tokens": token_records(docs), **about})
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{out}/manifest")
+
+
+def check_manifest(spark: SparkSession, models: str, docs: DataFrame) -> dict:
+    """The manifest of a model; an error if it is missing, or if ``docs`` have token texts that
+    were made with other options, or do not tell."""
+    try:
+        about = json.loads(spark.read.text(f"{models}/manifest").first()["value"])
+    except AnalysisException:
+        raise ValueError(f"{models} holds no complete model: its manifest is missing") from None
+    own = token_records(docs)
+    other = [c for c, record in about["tokens"].items() if own.get(c) != record]
+    if other:
+        raise ValueError(f"{', '.join(other)}: token texts made with other options than those of {models}")
+    return about
+
+
 def training_job(
     spark: SparkSession,
     documents: DataFrame,
@@ -144,6 +172,7 @@ def training_job(
     model = P.fit(train, kind, **params)
     P.save_model(vectors, f"{out}/vectors")
     P.save_model(model, f"{out}/classifier")
+    publish(spark, out, docs, label=label, kind=kind)
     return vectors, model
 
 
@@ -153,6 +182,7 @@ def prediction_job(
     """Predict a document set snapshot with saved models; ``only`` keeps one label.
     Token columns are dropped from the JSON records written."""
     docs = D.read_snapshot(spark, documents)
+    check_manifest(spark, models, docs)
     data = P.vectorize(docs, P.load_model(f"{models}/vectors"))
     done = P.predict(P.load_model(f"{models}/classifier"), data)
     D.write_json_records(by_label(done, only).drop("features", "title_seg", "desc_seg"), out)
@@ -178,6 +208,7 @@ def long_training_job(
     weights = transform_tfidf(train, model, key, P.FIELDS)
     classes = sorted(r.tag for r in train.select("tag").distinct().collect())
     save_bayes(fit_bayes(weights, train.select(key, "tag"), model.terms, key, classes), f"{out}/bayes")
+    publish(spark, out, docs, label=label, classes=classes)
 
 
 def long_prediction_job(
@@ -185,6 +216,7 @@ def long_prediction_job(
 ) -> None:
     """Predict a document set snapshot with the tables of ``long_training_job``."""
     docs = D.read_snapshot(spark, documents)
+    check_manifest(spark, models, docs)
     weights = transform_tfidf(docs, load_tfidf(spark, f"{models}/tfidf"), key, P.FIELDS)
     done = predict_bayes(weights, docs.drop("title_seg", "desc_seg"), load_bayes(spark, f"{models}/bayes"), key)
     D.write_json_records(by_label(done, only).drop("probability"), out)

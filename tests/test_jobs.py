@@ -1,9 +1,10 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from doctag.plans import jobs as J
-from doctag.functions.tokens import TokenOptions
+from doctag.functions.tokens import TokenOptions, token_record
 from doctag.operators.dataset import preprocess
 from doctag.sources.documents import write_snapshot
 
@@ -89,3 +90,27 @@ def test_jobs_take_frames_and_lines(spark, tmp_path):
     a = J.vectorizer_job(spark, docs, str(tmp_path / "a"), 2, 1)
     b = J.vectorizer_job(spark, str(tmp_path / "in.json"), str(tmp_path / "b"), 2, 1, form="lines")
     assert sorted(a.stages[1].vocabulary) == sorted(b.stages[1].vocabulary)
+
+
+def test_models_refuse_texts_of_other_options(spark, tmp_path):
+    docs = spark.createDataFrame([(i, d["title"], d["desc"], d["tag"]) for i, d in enumerate(DOCS)], "doc long, title string, desc string, tag string")
+    J.long_training_job(spark, docs, "doc", "IT", str(tmp_path / "long"), min_df={"title": 1, "desc": 2})
+    J.training_job(spark, docs, "doc", "IT", str(tmp_path / "vectors"))
+    write_snapshot(preprocess(docs, TokenOptions(ngram=2), key="doc"), str(tmp_path / "other"))
+    plain = [F.col(c).alias(c, metadata={}) if c.endswith("_seg") else c for c in preprocess(docs, key="doc").columns]
+    write_snapshot(preprocess(docs, key="doc").select(*plain), str(tmp_path / "untold"))
+    for name in ("other", "untold"):
+        with pytest.raises(ValueError, match="title_seg, desc_seg: token texts made with other options"):
+            J.long_prediction_job(spark, str(tmp_path / name), str(tmp_path / "long"), str(tmp_path / "x"), "doc")
+        with pytest.raises(ValueError, match="other options"):
+            J.prediction_job(spark, str(tmp_path / name), str(tmp_path / "vectors"), str(tmp_path / "x"))
+    with pytest.raises(ValueError, match="no complete model"):
+        J.long_prediction_job(spark, str(tmp_path / "other"), str(tmp_path / "missing"), str(tmp_path / "x"), "doc")
+
+
+def test_token_records():
+    a = TokenOptions(ngram=2, lemmas={"a": "b", "c": "d"}, cleaner=F.upper)
+    same = TokenOptions(ngram=2, lemmas={"c": "d", "a": "b"}, cleaner=F.upper)
+    assert token_record(a) == token_record(same)
+    others = [TokenOptions(ngram=3, lemmas=a.lemmas, cleaner=F.upper), TokenOptions(ngram=2, lemmas=a.lemmas), TokenOptions(ngram=2, cleaner=F.upper), TokenOptions()]
+    assert len({token_record(o) for o in (a, *others)}) == 5

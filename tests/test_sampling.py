@@ -158,3 +158,16 @@ def test_key_at(spark, monkeypatch):
             want = sorted(values)[rank - 1] if 1 <= rank <= len(values) else None
             if rank >= 1:
                 assert order.key_at(df, "k", rank) == want
+
+
+def test_slices_of_repeated_and_null_keys(spark):
+    values = [None] * 3 + [5] * 20_000 + [7] * 4
+    rows = spark.createDataFrame([(v, "x") for v in values], "k long, x string")
+    count = lambda *ends: sorted((str(r.k), r["count"]) for r in D.slice_rows(rows, "k", *ends).groupBy("k").count().collect())
+    assert count(0, 2) == [("None", 3)]
+    assert count(1, 10) == [("5", 20_000), ("None", 3)]
+    assert count(9_000, 9_001) == [("5", 20_000)]
+    assert count(-1, None) == [("7", 4)]
+    assert count(20_002, 20_004) == [("5", 20_000), ("7", 4)]
+    assert count(30_000, None) == []
+    assert count(2, None) == [("5", 20_000), ("7", 4), ("None", 3)]
