@@ -9,6 +9,7 @@ from doctag.functions.clean import CleanOptions
 from doctag.functions.segment import dictionary_segmenter, longest_match
 from doctag.operators.dataset import preprocess, tokenize_documents
 from doctag.operators.lemmas import drop_words_by_join, lemmatize_by_join
+from doctag.operators.token_tables import TokenTables, tokenize_by_tables
 from doctag.plans.catalog.registry import (
     DOCS,
     TAGGED,
@@ -347,3 +348,83 @@ def words_by_own_cleaner(spark, sf):
     options = T.TokenOptions(ngram=1, cleaner=letters, stop_en=("the", "of"))
     rows = table(spark, sf, "documents").select("doc_id", "text")
     return rows.select("doc_id", T.token_text(T.tokenize(F.col("text"), options)).alias("tokens"))
+
+
+# Tables of over a thousand entries: words of the benchmark and of the documents, their
+# lemmas without the last letter, and Thai words spelt by the keys of the parts.
+MANY_LEMMAS = (
+    "lemma AS (SELECT DISTINCT token, left(token, length(token) - 1) AS lemma FROM (SELECT unnest(str_split(lower(text), ' ')) AS token"
+    " FROM benchmark UNION ALL SELECT lower(unnest(str_split(title, ' '))) FROM docs) WHERE length(token) > 4)"
+)
+MANY_STOPS = "stop AS (SELECT DISTINCT unnest(str_split(replace(left(text, 400), chr(10), ' '), ' ')) AS token FROM benchmark)"
+
+
+def many_lemmas(spark, sf):
+    benchmark = table(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("token"))
+    titles = docs(spark, sf).select(F.explode(F.split(F.lower("title"), " ")).alias("token"))
+    rows = benchmark.unionByName(titles).filter(F.length("token") > 4).distinct()
+    return rows.select("token", F.left("token", F.length("token") - 1).alias("lemma"))
+
+
+@query(
+    "lemmas_by_table_ngrams",
+    "T20 J7 T19 T24",
+    with_(
+        DOCS,
+        MANY_LEMMAS,
+        MANY_STOPS,
+        "raws AS (SELECT doc_id, body AS t FROM docs)",
+        clean_ctes("raws", "cleaned"),
+        "spelt AS (SELECT doc_id, list_filter(str_split(t, ' '), lambda x: x <> '') AS toks FROM cleaned)",
+        "one AS (SELECT doc_id, unnest(toks) AS raw, generate_subscripts(toks, 1) AS i FROM spelt)",
+        "mapped AS (SELECT doc_id, i, CASE WHEN lemma IS NOT NULL AND regexp_full_match(lower(raw), '[A-Ya-y]*') THEN lemma ELSE lower(raw) END AS tok"
+        " FROM one LEFT JOIN lemma ON lower(raw) = lemma.token WHERE raw NOT IN (SELECT token FROM stop))",
+        "plain AS (SELECT s.doc_id, coalesce(list(tok ORDER BY i) FILTER (tok IS NOT NULL), []) AS toks FROM spelt s"
+        " LEFT JOIN mapped m ON s.doc_id = m.doc_id GROUP BY s.doc_id)",
+        ngram_ctes("plain", "grams", 3),
+        select=f"SELECT doc_id, {text_of()} AS tokens FROM grams",
+    ),
+)
+def lemmas_by_table_ngrams(spark, sf):
+    """N-grams of documents whose lemmas and stop words are tables."""
+    stops = table(spark, sf, "benchmark").select(
+        F.explode(F.split(F.replace(F.left("text", F.lit(400)), F.lit("\n"), F.lit(" ")), " ")).alias("token")
+    )
+    tables = TokenTables(stops=stops, lemmas=many_lemmas(spark, sf))
+    out = tokenize_by_tables(docs(spark, sf), "doc_id", {"tokens": ("desc", 3)}, tables)
+    return out.select("doc_id", T.token_text(F.col("tokens")).alias("tokens"))
+
+
+WORDS_OF_PARTS = "translate(lpad(CAST(p_partkey AS VARCHAR), 3 + p_size % 2, '0'), '0123456789', 'กขคงจฉกขคง')"
+
+
+@query(
+    "segmented_by_table",
+    "T21 J7 T22",
+    with_(
+        THAI_TEXT,
+        clean_ctes("thai", "cleaned"),
+        words_cte("cleaned", "plain"),
+        f"word AS (SELECT DISTINCT {WORDS_OF_PARTS} AS word FROM part)",
+        "u AS (SELECT doc_id, unnest(toks) AS token, generate_subscripts(toks, 1) AS i FROM plain)",
+        f"tokens AS (SELECT DISTINCT token FROM u WHERE regexp_matches(token, '[{TH}]'))",
+        "walk(token, pos, n) AS (SELECT token, 1::BIGINT, 0::BIGINT FROM tokens UNION ALL"
+        " SELECT w.token, w.pos + w.n, coalesce(length(e.word), length(d.word), length(c.word), 1)::BIGINT"
+        " FROM walk w LEFT JOIN word e ON e.word = substr(w.token, w.pos + w.n, 5) AND length(e.word) = 5"
+        " LEFT JOIN word d ON d.word = substr(w.token, w.pos + w.n, 4) AND length(d.word) = 4"
+        " LEFT JOIN word c ON c.word = substr(w.token, w.pos + w.n, 3) AND length(c.word) = 3"
+        " WHERE w.pos + w.n <= length(w.token))",
+        "cut AS (SELECT token, list(substr(token, pos, n) ORDER BY pos) AS pieces FROM walk WHERE n > 0 GROUP BY token)",
+        "parts AS (SELECT doc_id, i, coalesce(list_filter(pieces, lambda p: p <> 'ก'), [u.token]) AS pieces FROM u"
+        " LEFT JOIN cut ON u.token = cut.token)",
+        select="SELECT p.doc_id, coalesce((SELECT array_to_string(flatten(list(pieces ORDER BY i)), '|') FROM parts q"
+        " WHERE q.doc_id = p.doc_id), '') AS tokens FROM plain p",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
+def segmented_by_table(spark, sf):
+    """Thai tokens cut into the words of a table, without one Thai stop word."""
+    spelt = F.lpad(F.col("p_partkey").cast("string"), 3 + F.col("p_size") % 2, F.lit("0"))
+    words = table(spark, sf, "part").select(F.translate(spelt, "0123456789", "กขคงจฉกขคง").alias("word"))
+    stops = spark.createDataFrame([("ก",)], "token string")
+    out = tokenize_by_tables(thai_text(spark, sf), "doc_id", {"tokens": ("t", 1)}, TokenTables(words=words, stops_th=stops))
+    return out.select("doc_id", T.token_text(F.col("tokens")).alias("tokens"))

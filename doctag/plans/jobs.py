@@ -22,6 +22,7 @@ from doctag.operators.dataset import (
 )
 from doctag.operators.rules import OUTCOMES, outcome_counts, outcome_report, tag_documents
 from doctag.operators.sampling import sample_exact, sample_fraction, training_set
+from doctag.operators.token_tables import TokenTables, preprocess_by_tables
 from doctag.operators.tfidf import fit_tfidf, load_tfidf, save_tfidf, transform_tfidf
 from doctag.operators.vocabulary import vocabulary
 from doctag.plans import training as P
@@ -198,10 +199,14 @@ def long_training_job(
     min_df: float | int | Mapping[str, float | int] = 0.005,
     seed: int = 0,
     options: TokenOptions = TokenOptions(ngram=5),
+    tables: TokenTables | None = None,
 ) -> None:
     """Like ``training_job`` for vocabularies of any length: TF-IDF of all documents and
-    a naive Bayes model of the balanced ones, as tables below ``out``."""
-    docs = durable(preprocess(documents, options, key=key))
+    a naive Bayes model of the balanced ones, as tables below ``out``. ``tables`` are word
+    lists that are too long for the options."""
+    by_tables = tables is not None
+    docs = preprocess_by_tables(documents, key, tables, options) if by_tables else preprocess(documents, options, key=key)
+    docs = durable(docs)
     model = fit_tfidf(docs, P.FIELDS, max_df, min_df)
     save_tfidf(model, f"{out}/tfidf")
     train = training_set(docs.filter(F.col("tag").isNotNull()), label, key, seed)

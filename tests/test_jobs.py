@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from doctag.plans import jobs as J
 from doctag.functions.tokens import TokenOptions, token_record
 from doctag.operators.dataset import preprocess
+from doctag.operators.token_tables import TokenTables, preprocess_by_tables
 from doctag.sources.documents import write_snapshot
 
 IT = ["java sql developer", "python developer", "java tester", "sql analyst"]
@@ -114,3 +115,19 @@ def test_token_records():
     assert token_record(a) == token_record(same)
     others = [TokenOptions(ngram=3, lemmas=a.lemmas, cleaner=F.upper), TokenOptions(ngram=2, lemmas=a.lemmas), TokenOptions(ngram=2, cleaner=F.upper), TokenOptions()]
     assert len({token_record(o) for o in (a, *others)}) == 5
+
+
+def test_long_form_jobs_with_word_tables(spark, tmp_path):
+    docs = spark.createDataFrame([(i, d["title"], d["desc"], d["tag"]) for i, d in enumerate(DOCS)], "doc long, title string, desc string, tag string")
+    lemmas = spark.createDataFrame([("developer", "maker"), ("cook", "maker")], "token string, lemma string")
+    tables = TokenTables(stops=spark.createDataFrame([("we",), ("a",)], "token string"), lemmas=lemmas)
+    J.long_training_job(spark, docs, "doc", "IT", str(tmp_path / "models"), min_df={"title": 1, "desc": 2}, tables=tables)
+    terms = {r.term for r in spark.read.parquet(str(tmp_path / "models/tfidf/terms")).collect()}
+    assert "maker" in terms and not {"developer", "cook", "we"} & terms
+    write_snapshot(preprocess_by_tables(docs, "doc", tables), str(tmp_path / "docs"))
+    J.long_prediction_job(spark, str(tmp_path / "docs"), str(tmp_path / "models"), str(tmp_path / "all"), "doc")
+    assert spark.read.json(str(tmp_path / "all")).count() == len(DOCS)
+    other = TokenTables(stops=tables.stops, lemmas=lemmas.limit(1))
+    write_snapshot(preprocess_by_tables(docs, "doc", other), str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="other options"):
+        J.long_prediction_job(spark, str(tmp_path / "other"), str(tmp_path / "models"), str(tmp_path / "x"), "doc")
