@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,12 +32,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# The stage tables of each application, oldest first.
+_stages: dict[str, list[str]] = {}
+
+
 def durable(df: DataFrame) -> DataFrame:
     """``df`` written to a table in the shared folder and read back: its lineage
     ends there, so neither a lost executor nor a second read can change it."""
-    path = scratch_path(df.sparkSession, "stage")
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage")
+    _stages.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def stages_released(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end the stage tables that were stored inside of it. What is still to be
+    read from them must be written before."""
+    known = _stages.setdefault(spark.sparkContext.applicationId, [])
+    before = len(known)
+    try:
+        yield
+    finally:
+        mine, known[before:] = known[before:], []
+        for name in mine:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
