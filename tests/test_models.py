@@ -153,3 +153,25 @@ def test_lemma_join_equals_literals(spark, monkeypatch):
     stops = spark.createDataFrame([("jobs",)], "token string")
     got = L.drop_words_by_join(df, "id", "t", stops).orderBy("id").collect()
     assert [r.t for r in got] == [["zoos", "x"], [], []]
+
+
+def test_a_fit_counts_only_terms_that_may_reach_the_lower_limit(spark):
+    rows = [(i, f"a|t{i}", "|".join(["b", f"x{i}", f"y{i}", f"y{i}", "c" if i % 2 else "d"])) for i in range(400)]
+    rows += [(None, None, None), (7, "", ""), (7, "a", "b")]
+    df = spark.createDataFrame(rows, "id long, title_seg string, desc_seg string").repartition(5)
+    everything = {tuple(r) for r in X.field_document_frequency(df, P.FIELDS).collect()}
+    got = {tuple(r) for r in X.frequent_document_frequency(df, P.FIELDS, {"title": 3, "desc": 8}, 403).collect()}
+    assert got <= everything and len(got) < 20 < len(everything)
+    assert {r for r in everything if r[2] >= 8} <= got
+    # Without a lower limit nothing is left out.
+    assert {tuple(r) for r in X.frequent_document_frequency(df, P.FIELDS, {"title": 1, "desc": 8}, 403).collect()} == everything
+    fitted = X.fit_tfidf(df, P.FIELDS, 1.0, {"title": 3, "desc": 8})
+    want = {r for r in everything if r[2] >= (3 if r[0] == "title" else 8)}
+    assert {(r.field, r.term, r.df) for r in fitted.terms.collect()} == want
+
+
+def test_weights_meet_the_vocabulary_before_they_are_shuffled(train, fitted):
+    plan = X.transform_tfidf(train, fitted, "id", P.FIELDS)._jdf.queryExecution().toString()
+    plan = plan[plan.rindex("== Physical Plan ==") :]
+    # From the last operator to the first: the exchange stands above the join.
+    assert plan.index("Exchange hashpartitioning(id") < plan.index("BroadcastHashJoin")
