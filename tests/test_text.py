@@ -189,3 +189,18 @@ def test_legacy_tokens(column):
 
 def test_token_text_round_trip(column):
     assert column(["a|b c|", ""], T.split_token_text) == [["a", "b c", ""], [""]]
+
+
+def test_ngrams_grow_from_shorter_ones(column):
+    from doctag.functions import tokens as T
+
+    def want(words, n, sep):
+        return [sep.join(words[i : i + k]) for k in range(2, n + 1) for i in range(len(words) - k + 1)]
+
+    texts = ["", "a", "a b", "a b c d e f g h i j k l", "ก b ข d"]
+    for n in (2, 3, 10):
+        got = column(texts, lambda t: T.sentence_ngrams(F.replace(t, F.lit(" "), F.lit("|")), n))
+        assert got == [want(t.split(), n, "" if "ก" in t else " ") for t in texts]
+    # Each n-gram takes one token more; none is joined anew from a slice of its own.
+    plan = str(T.sentence_ngrams(F.col("t"), 5))
+    assert "array_join" not in plan and column([None], lambda t: T.tokenize(t)) == [None]
