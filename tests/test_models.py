@@ -7,6 +7,7 @@ from doctag.operators import bayes as B
 from doctag.operators import lemmas as L
 from doctag.operators import metrics as M
 from doctag.operators import tfidf as X
+from doctag.operators import vocabulary as V
 from doctag.plans import training as P
 
 TRAIN = [
@@ -175,3 +176,14 @@ def test_weights_meet_the_vocabulary_before_they_are_shuffled(train, fitted):
     plan = plan[plan.rindex("== Physical Plan ==") :]
     # From the last operator to the first: the exchange stands above the join.
     assert plan.index("Exchange hashpartitioning(id") < plan.index("BroadcastHashJoin")
+
+
+def test_top_vocabulary_counts_only_what_may_be_in_it(spark):
+    rows = [(i, ["a", "b", f"x{i}"] + ["c"] * (i % 3 == 0)) for i in range(300)] + [(7, []), (7, None)]
+    df = spark.createDataFrame(rows, "id long, words array<string>")
+    counts = V.document_frequency(df, F.col("words"))
+    least = V.kth_frequency(counts, 3)
+    assert least == 100 and V.kth_frequency(counts, 1000) == 1
+    some = V.document_frequency(df, F.col("words"), least)
+    assert some.count() < 10 < counts.count()
+    assert V.top_vocabulary(some, 3).collect() == V.top_vocabulary(counts, 3).collect()
