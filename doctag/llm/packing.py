@@ -42,6 +42,9 @@ ROWS_OUT = 256
 
 # Lower-case letters that no normal form changes.
 LATIN = re.compile("[a-zß-öø-ÿ]+")
+# ASCII signs, without the apostrophe, which can join the letter behind it, and without those
+# of the special tokens.
+SIGNS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 # The letters that byte-level tokenizers write for bytes: printable ones stand for themselves,
 # the rest for the code points from 256 on.
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -54,8 +57,8 @@ class WordIds(dict):
     """The ids of a space-free string as little-endian 32-bit numbers.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its space-free parts. It also separates a letter from a comma
-    or full stop that ends the part, which lets the stem be remembered once, and
+    are those of its space-free parts. It also separates a letter from the signs
+    that end the part, so that stem and signs are looked up alone, and
     lowers case. A part of Latin letters is one word to it, so that its model can be asked
     directly, in the letters that it has for bytes; all others go through the whole
     tokenizer."""
@@ -78,18 +81,23 @@ class WordIds(dict):
 
     def __missing__(self, part: str) -> bytes:
         out = self.older.get(part)
-        if out is not None:
-            return self.keep(part, out)
-        if len(part) > 2 and part[-1] in ",." and LATIN.fullmatch(part[-2].lower()):
-            return self[part[:-1]] + self[part[-1]]
-        lower = part.lower()
-        if LATIN.fullmatch(lower):
-            if lower != part:
-                return self[lower]
-            ids = [token.id for token in self.word(lower.encode().decode("latin-1").translate(BYTE_LETTERS))]
-        else:
-            ids = self.encode(part, add_special_tokens=False).ids
-        return self.keep(part, struct.pack(f"<{len(ids)}I", *ids))
+        if out is None:
+            stem = part.rstrip(SIGNS)
+            lower = stem.lower()
+            if stem != part and LATIN.fullmatch(lower[-1:]):
+                out = self[stem] + self[part[len(stem) :]]
+            elif stem == part and LATIN.fullmatch(lower):
+                out = self.of_word(lower) if lower == part else self[lower]
+            else:
+                ids = self.encode(part, add_special_tokens=False).ids
+                out = struct.pack(f"<{len(ids)}I", *ids)
+        return self.keep(part, out)
+
+    def of_word(self, lower: str) -> bytes:
+        if not lower.isascii():
+            lower = lower.encode().decode("latin-1").translate(BYTE_LETTERS)
+        ids = [token.id for token in self.word(lower)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def keep(self, part: str, out: bytes) -> bytes:
         if len(part) <= LONGEST_KEPT:

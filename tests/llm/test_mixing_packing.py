@@ -84,6 +84,23 @@ def test_ids_are_those_of_the_tokenizer():
         assert np.frombuffer(words.of_text(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
 
 
+def test_signs_at_the_end_are_looked_up_alone():
+    """The whole tokenizer is asked for each run of signs once, not for each word before it."""
+    from tokenizers import Tokenizer
+
+    text = vocabulary()
+    words, whole = WordIds(text), Tokenizer.from_str(text)
+    asked, encode = [], words.encode
+    words.encode = lambda part, **options: (asked.append(part), encode(part, **options))[1]
+    parts = [f"{w}{s}" for w in ("word", "Été", "x", "AND", "naïve") for s in (",%%%", "***", ".", "!?_~", "...")]
+    assert [words.of_text(p) for p in parts] == [
+        np.array(whole.encode(p, add_special_tokens=False).ids, "<u4").tobytes() for p in parts
+    ]
+    assert sorted(asked) == sorted((",%%%", "***", ".", "!?_~", "..."))
+    for p in ("a<|endoftext|>", "<|endoftext|>,", "a|>", "it's,", "'s%", "'%s", "é\u0301,", "1,%", "中,", "%%,a,%", "don't!"):
+        assert words.of_text(p) == np.array(whole.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_remembered_words_are_bounded(monkeypatch):
     """Words may be forgotten at any time, long ones are never kept, and ids stay right."""
     from doctag.llm import packing
