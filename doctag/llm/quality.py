@@ -88,8 +88,8 @@ def _token_rows(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def word_table(docs: DataFrame) -> np.ndarray:
     """Unit word vectors, ``ROWS x DIMENSIONS``. A task sums its documents up in a
-    table of that size and hands it on in blocks; blocks are added as a stream,
-    and the result is of the same fixed size."""
+    table of that size and hands it on in blocks; blocks are added as a stream, scaled
+    where they were added, and the driver gets the vectors alone, half as long."""
     ship(docs.sparkSession)
     schema = "block int, sums binary"
 
@@ -107,14 +107,19 @@ def word_table(docs: DataFrame) -> np.ndarray:
             for block, part in zip(batch.column(0).to_pylist(), batch.column(1)):
                 part = np.frombuffer(part.as_buffer(), np.int64)
                 sums[block] = sums[block] + part if block in sums else part
-        yield from _blocks(sums)
+        yield from _blocks({block: unit_vectors(part) for block, part in sums.items()})
 
     parts = docs.select("text").mapInArrow(partial, schema)
     blocks = parts.repartition(ROWS // BLOCK_ROWS, "block").mapInArrow(total, schema)
-    out = np.zeros((ROWS, DIMENSIONS))
+    out = np.zeros((ROWS, DIMENSIONS), np.float32)
     for row in blocks.collect():
         at = row.block * BLOCK_ROWS
-        out[at : at + BLOCK_ROWS] = np.frombuffer(row.sums, np.int64).reshape(BLOCK_ROWS, DIMENSIONS)
+        out[at : at + BLOCK_ROWS] = np.frombuffer(row.sums, np.float32).reshape(BLOCK_ROWS, DIMENSIONS)
+    return out
+
+
+def unit_vectors(sums: np.ndarray) -> np.ndarray:
+    out = sums.reshape(-1, DIMENSIONS).astype(float)
     norm = np.sqrt((out * out).sum(1, keepdims=True))
     return np.divide(out, norm, out=np.zeros_like(out), where=norm > 0).astype(np.float32)
 
@@ -181,7 +186,10 @@ def fit_network(x: np.ndarray, y: np.ndarray, calibration: np.ndarray) -> Networ
     choose the temperature."""
     rng = np.random.default_rng(SEED)
     learn = ~calibration if (~calibration).any() else np.ones(len(x), bool)
-    center, scale = x[learn].mean(0), x[learn].std(0) + 1e-6
+    z, t = x[learn], y[learn].astype(float)
+    center, scale = z.mean(0), z.std(0) + 1e-6
+    z -= center
+    z /= scale
     w = [
         rng.normal(0, x.shape[1] ** -0.5, (x.shape[1], HIDDEN)),
         np.zeros(HIDDEN),
@@ -189,7 +197,6 @@ def fit_network(x: np.ndarray, y: np.ndarray, calibration: np.ndarray) -> Networ
         np.zeros(1),
     ]
     net = Network(center, scale, w)
-    z, t = (x[learn] - center) / scale, y[learn].astype(float)
     m, v, step = [np.zeros_like(p) for p in w], [np.zeros_like(p) for p in w], 0
     for epoch in range(EPOCHS):
         order = rng.permutation(len(z))
@@ -266,9 +273,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityMode
     )
     if not rows:
         return QualityModel(words, None)
-    x = np.stack([np.frombuffer(r.x, np.float32) for r in rows]).astype(float)
+    shared.destroy()
     y = np.array([r._y > 0 for r in rows], int)
-    return QualityModel(words, fit_network(x, y, np.arange(len(rows)) % 5 == 4))
+    x = np.empty((len(rows), len(rows[0].x) // 4))
+    # Each row is let go once it is copied.
+    while rows:
+        row = rows.pop()
+        x[len(rows)] = np.frombuffer(row.x, np.float32)
+    return QualityModel(words, fit_network(x, y, np.arange(len(x)) % 5 == 4))
 
 
 def score(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:

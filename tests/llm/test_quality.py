@@ -71,3 +71,15 @@ def test_long_texts_are_cut_at_white_space():
     parts = list(bytetext.slices(pa.array([text, "end"])))
     assert len(parts) > 2 and sum(len(d) for d, _, _ in parts) == len(text) + 3
     assert sum(len(bytetext.tokens(d, s)[0]) for d, s, _ in parts) == 700_001
+
+
+def test_the_driver_gets_unit_vectors_alone(spark, monkeypatch):
+    """The sums, twice as long, stay with the tasks."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    seen, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: (seen.append(collect(df)), seen[-1])[1])
+    words = quality.word_table(corpus(spark, 40)[0])
+    assert sum(len(r.sums) for r in seen[0]) <= words.nbytes == quality.ROWS * quality.DIMENSIONS * 4
+    norms = np.linalg.norm(words.astype(float), axis=1)
+    assert 0 < (norms > 0).sum() < 20 and np.allclose(norms[norms > 0], 1)
