@@ -187,3 +187,48 @@ def test_top_vocabulary_counts_only_what_may_be_in_it(spark):
     some = V.document_frequency(df, F.col("words"), least)
     assert some.count() < 10 < counts.count()
     assert V.top_vocabulary(some, 3).collect() == V.top_vocabulary(counts, 3).collect()
+
+
+def _physical(df):
+    plan = df._jdf.queryExecution().toString()
+    return plan[plan.rindex("== Physical Plan ==") :]
+
+
+def test_keyed_weights_move_no_more(spark, fitted):
+    from doctag.session import by_key
+
+    rows = [*TRAIN, (1, "dev|dev", "java|cook", "1"), (None, "sql", "food|food", "0"), (None, "dev", "", "0"), (8, None, "java", "0")]
+    df = spark.createDataFrame(rows, "id long, title_seg string, desc_seg string, tag string")
+    keyed = X.transform_tfidf(by_key(df, "id"), fitted, "id", P.FIELDS, keyed=True)
+    plan = _physical(keyed)
+    assert plan.count("Exchange hashpartitioning(") == 1 < plan.count("Aggregate(")
+    order = lambda r: (r.id is None, r.id or 0, r.field, r.term, r.weight)
+    want = sorted(X.transform_tfidf(df, fitted, "id", P.FIELDS).collect(), key=order)
+    got = sorted(keyed.collect(), key=order)
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert [r.weight for r in got] == pytest.approx([r.weight for r in want])
+
+
+def test_stored_words_are_texts_and_a_fit_does_not_move_them(spark):
+    from doctag.operators.dataset import tokenize_documents
+    from doctag.plans.catalog import features as T
+
+    rows = [(1, "Sql dev", "Sql dev. Sql dev"), (1, "", ""), (None, None, None), (2, " . ", "กข คง"), (3, "a|b", "x\ny")]
+    df = spark.createDataFrame(rows, "doc_id long, title string, desc string")
+    want = tokenize_documents(df, T.N_TITLE, T.N_DESC).drop("title", "desc")
+    as_files, keyed = T.segmented_once(df)
+    assert "Exchange" not in _physical(as_files)
+    plan = _physical(keyed)
+    assert plan.count("Exchange hashpartitioning(doc_id") == 1 and "struct<doc_id:bigint,title:string,desc:string>" in plan
+    for got in (as_files, keyed):
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_vectors_keep_no_texts(spark, tmp_path):
+    from doctag.plans.catalog import models
+
+    rows = [(i, f"sql w{i % 3} x{i % 5}", None, None, None) for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    train, _ = models.vectors(spark, str(tmp_path))
+    assert set(train.columns) == {"doc_id", "features", "tag"} and train.count() == 20
