@@ -31,11 +31,17 @@ def join_small_or_salted(left: DataFrame, right: DataFrame, on: list[str], how:
     return salted.join(right.select("*", salts), [*on, "_salt"], how).drop("_salt")
 
 
+def _each(df: DataFrame, key: str, tokens: str) -> DataFrame:
+    """``key, _pos, token``. For the plain form Spark first tests whether there are tokens, and
+    would make them once more to do so."""
+    return df.select(key, F.posexplode_outer(tokens).alias("_pos", "token")).filter("_pos IS NOT NULL")
+
+
 def lemmatize_by_join(
     df: DataFrame, key: str, tokens: str, lemmas: DataFrame, keywords=(), skip_z: bool = True
 ) -> DataFrame:
     """Replace tokens by the ``lemma`` of the ``token, lemma`` table."""
-    each = df.select(key, F.posexplode(tokens).alias("_pos", "token"))
+    each = _each(df, key, tokens)
     each = join_small_or_salted(each, lemmas.select("token", "lemma"), ["token"], "left", "_pos")
     wanted = lemma_candidate(F.col("token"), keywords, skip_z) & F.col("lemma").isNotNull()
     each = each.withColumn("token", F.when(wanted, F.col("lemma")).otherwise(F.col("token")))
@@ -44,7 +50,7 @@ def lemmatize_by_join(
 
 def drop_words_by_join(df: DataFrame, key: str, tokens: str, stops: DataFrame) -> DataFrame:
     """Drop the tokens listed in the one-column table ``token``."""
-    each = df.select(key, F.posexplode(tokens).alias("_pos", "token"))
+    each = _each(df, key, tokens)
     listed = stops.select("token").distinct()
     return _regroup(df, join_small_or_salted(each, listed, ["token"], "left_anti", "_pos"), key, tokens)
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doctag.session import spread
+from doctag.session import by_key, spread
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -41,9 +41,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, title, desc``: the title is the first line of the text."""
-    rows = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+def docs(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
+    """``doc_id, title, desc``: the title is the first line of the text. ``keyed`` rows are hashed
+    by their id at every size, for plans that take them apart and group them again."""
+    rows = (by_key if keyed else spread)(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return rows.select(
         "doc_id", F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("desc")
     )

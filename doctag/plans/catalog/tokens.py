@@ -106,7 +106,7 @@ def lemmas(spark, sf):
 
 @query("lemmas_by_join", "T20", LEMMA_SQL)
 def lemmas_by_join(spark, sf):
-    plain = docs(spark, sf).select("doc_id", T.words(F.col("desc")).alias("tokens"))
+    plain = docs(spark, sf, keyed=True).select("doc_id", T.words(F.col("desc")).alias("tokens"))
     known = spark.createDataFrame(list(LEMMAS.items()), "token string, lemma string")
     out = lemmatize_by_join(plain, "doc_id", "tokens", known, keywords=("ones",))
     return out.select("doc_id", T.token_text(F.col("tokens")).alias("tokens"))
@@ -129,7 +129,7 @@ BENCH_WORDS = "stops AS (SELECT DISTINCT unnest(str_split(lower(text), ' ')) AS
     ),
 )
 def stop_words_by_join(spark, sf):
-    plain = docs(spark, sf).select("doc_id", T.words(F.col("desc")).alias("tokens"))
+    plain = docs(spark, sf, keyed=True).select("doc_id", T.words(F.col("desc")).alias("tokens"))
     stops = table(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("token"))
     out = drop_words_by_join(plain, "doc_id", "tokens", stops)
     return out.select("doc_id", T.token_text(F.col("tokens")).alias("tokens"))

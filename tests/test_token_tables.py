@@ -66,3 +66,26 @@ def test_segments_of_tokens(spark):
         table = spark.createDataFrame([(w,) for w in words], "word string")
         got = {r.token: r.pieces for r in X.segmented(df, table).collect()}
         assert got == {t: longest_match(words)(t) for t in tokens}
+
+
+def test_tokens_are_joined_and_regrouped_where_their_document_lies(spark, tmp_path):
+    from doctag.plans.catalog import QUERIES
+
+    # More files than twice the cores are left as they lie by a narrow plan.
+    n = 2 * spark.sparkContext.defaultParallelism + 1
+    rows = [(i, f"the ores {i}", None) for i in range(2 * n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(n, "doc_id")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "the of")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        for name, first in (("lemmas_by_join", "the|ore|0"), ("stop_words_by_join", "ores|0")):
+            out = QUERIES[name].run(spark, str(tmp_path))
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            own = [line for line in plan.splitlines() if "Exchange hashpartitioning(doc_id" in line]
+            assert own and all("REPARTITION_BY_NUM" in line for line in own)
+            # The words are made once, not for a test of their number too.
+            assert not [line for line in plan.splitlines() if "Filter" in line and "size(" in line]
+            assert min(map(tuple, out.collect())) == (0, first)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
