@@ -204,3 +204,18 @@ def test_ngrams_grow_from_shorter_ones(column):
     # Each n-gram takes one token more; none is joined anew from a slice of its own.
     plan = str(T.sentence_ngrams(F.col("t"), 5))
     assert "array_join" not in plan and column([None], lambda t: T.tokenize(t)) == [None]
+
+
+def test_faster_patterns_match_what_the_plain_ones_do(spark):
+    rows = ["aB cD", "xYz", "ıA", "a​B", "a  b \t　ๆ c\x1cd", " \n", "คุณ กข ค", "กa ขb", "a", "", "é[^]\\-|~\x7f\xffĀ\U0001f600", None]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    t = F.col("t")
+    pairs = [
+        (C.split_merged_words(t), F.regexp_replace(t, "([a-z])([A-Z])", "$1 \\\\\\\\ $2")),
+        (C.drop_illegal(t), F.regexp_replace(t, r"[^ #+\-.0-9@A-Za-z\x{0E01}-\x{0E3A}\x{0E3F}-\x{0E5D}]+", "")),
+        (C.drop_illegal(t, frozenset("a^]éĀ")), F.regexp_replace(t, "[^a\\^\\]éĀ]+", "")),
+    ]
+    for got, want in pairs:
+        assert df.filter(~got.eqNullSafe(want)).isEmpty()
+    # The code points of one table are listed one by one, and no text without Thai letters is searched twice.
+    assert r"\x22" in C.illegal_class(C.LEGAL) and r"\x{21}" not in C.illegal_class(C.LEGAL)
