@@ -232,3 +232,24 @@ def test_vectors_keep_no_texts(spark, tmp_path):
     spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     train, _ = models.vectors(spark, str(tmp_path))
     assert set(train.columns) == {"doc_id", "features", "tag"} and train.count() == 20
+
+
+def test_vectors_are_made_once_and_arrays_are_the_token_texts(spark, tmp_path):
+    from doctag.plans.catalog import features as T
+    from doctag.plans.catalog import models
+
+    rows = [(i, f"Sql dev. w{i % 3} x{i % 5}\nb c" if i < 18 else "", None, None, None) for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    _, vectors = models.vectors(spark, str(tmp_path))
+    plan = _physical(vectors)
+    assert "UDF(" not in plan and "Exchange" not in plan
+    df = T.docs(spark, str(tmp_path))
+    (seg, _), (arrays, keyed) = T.segmented_once(df), T.segmented_once(df, arrays=True)
+    want = P.vectorize(seg, P.vectorizer(T.fitted(seg))).select("doc_id", "features")
+    for own in (vectors, P.vectorize(keyed, P.vectorizer(T.fitted(arrays), arrays=True)).select("doc_id", "features")):
+        # The order of equally frequent terms in a vector is the fit's own.
+        lists = [sorted((r.doc_id, sorted(map(float, r.features.toArray()))) for r in x.collect()) for x in (own, want)]
+        assert [d for d, _ in lists[0]] == [d for d, _ in lists[1]]
+        for (_, a), (_, b) in zip(*lists):
+            assert a == pytest.approx(b)
