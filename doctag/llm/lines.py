@@ -126,6 +126,14 @@ def _band_distance(a: Column, b: Column, edits: int) -> Column:
     return F.aggregate(F.sequence(F.lit(0), m - 1), start, update, lambda s: s["d"])
 
 
+def _ends_alike(a: Column, b: Column, edits: int) -> Column:
+    """Where strings are at most ``edits`` apart, starts of equal length are at most twice
+    that, and so are ends."""
+    starts = F.levenshtein(F.left(a, F.lit(GLANCE)), F.left(b, F.lit(GLANCE)), 2 * edits)
+    ends = F.levenshtein(F.right(a, F.lit(GLANCE)), F.right(b, F.lit(GLANCE)), 2 * edits)
+    return (starts >= 0) & (ends >= 0)
+
+
 def within(a: Column, b: Column, edits: int = EDITS) -> Column:
     """True when the strings are at most ``edits`` apart."""
 
@@ -146,14 +154,10 @@ def within(a: Column, b: Column, edits: int = EDITS) -> Column:
         long, short = F.when(swap, r["b"]).otherwise(r["a"]), F.when(swap, r["a"]).otherwise(r["b"])
         chars = F.struct(F.split(long, "").alias("long"), F.split(short, "").alias("short"))
         distance = _let(chars, lambda x: _band_distance(x["long"], x["short"], edits))
-        # Where strings are at most ``edits`` apart, starts of equal length are at most
-        # twice that, and so are ends.
-        starts = F.levenshtein(F.left(long, F.lit(GLANCE)), F.left(short, F.lit(GLANCE)), 2 * edits)
-        ends = F.levenshtein(F.right(long, F.lit(GLANCE)), F.right(short, F.lit(GLANCE)), 2 * edits)
         return (
             F.when(F.greatest(F.length(r["a"]), F.length(r["b"])) <= edits, True)
             .when(F.least(F.length(r["a"]), F.length(r["b"])) == 0, False)
-            .when((starts < 0) | (ends < 0), False)
+            .when(~_ends_alike(long, short, edits), False)
             .otherwise(distance <= edits)
         )
 
@@ -222,12 +226,13 @@ def _links(lines: DataFrame, docs: DataFrame, edits: int) -> DataFrame:
     found = _of_row(docs.select("doc_id", "text"), places, "inner")
     texts = found.select(F.split("text", "\n", -1).alias("_lines"), "_want").select("_lines", F.inline("_want"))
     texts = texts.select("id", "keys", F.btrim(F.get("_lines", F.col("line_no")), F.lit(" \t\r")).alias("line"))
+    texts = texts.withColumn("n", F.length("line"))
     rows = met.join(texts.dropDuplicates(["id"]), "id")
     count = F.ceil(F.col("_n") / BLOCK).cast("int")
     blocks = durable(
         rows.withColumn("_block", F.pmod(F.xxhash64("id"), count).cast("int"))
         .groupBy("key", "_n", "_block")
-        .agg(F.collect_list(F.struct("id", "line", "keys")).alias("lines"))
+        .agg(F.collect_list(F.struct("id", "line", "n", "keys")).alias("lines"))
     )
     other = blocks.select("key", F.col("_block").alias("_other"), F.col("lines").alias("others"))
 
@@ -235,8 +240,10 @@ def _links(lines: DataFrame, docs: DataFrame, edits: int) -> DataFrame:
         def linked(b: Column) -> Column:
             ordered = (F.col("_block") < F.col("_other")) | (a["id"] < b["id"])
             first = F.array_min(F.array_intersect(a["keys"], b["keys"])) == F.col("key")
-            near = F.abs(F.length(a["line"]) - F.length(b["line"])) <= edits
-            return F.when(ordered & near, first & within(a["line"], b["line"], edits)).otherwise(False)
+            near = F.abs(a["n"] - b["n"]) <= edits
+            # Lines that share one end mostly differ at the other, which is seen at once.
+            alike = _ends_alike(a["line"], b["line"], edits)
+            return F.when(ordered & near & alike, first & within(a["line"], b["line"], edits)).otherwise(False)
 
         return F.transform(
             F.filter(others, linked), lambda b: F.struct(a["id"].alias("a"), b["id"].alias("b"))

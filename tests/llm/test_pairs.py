@@ -9,7 +9,7 @@ from doctag.llm.bytetext import SLICE
 from doctag.llm.components import components, roots
 from doctag.llm.embeddings import near_duplicates
 from doctag.llm.jaccard import first_of_class, jaccard_classes
-from doctag.llm.lines import line_classes, within, without_repeats
+from doctag.llm.lines import _ends_alike, line_classes, within, without_repeats
 from doctag.llm.suffixes import cleaned_texts, front_code, front_decode, merge_runs, of_documents
 from doctag.llm.topk import quantized, top_k, usable
 from pyspark.sql import functions as F
@@ -304,3 +304,18 @@ def test_suffixes_of_a_long_text(spark):
     rows = [(1, long[at : at + 60]), (2, long)]
     got = {r.first_id: r for r in cleaned_texts(spark.createDataFrame(rows, TEXT)).collect()}
     assert [(s.start, s.length) for s in got[2].spans] == [(at, 60)] and not got[1].spans
+
+
+def test_lines_with_unlike_ends_are_no_pair(spark):
+    rng = random.Random(5)
+    rows = []
+    for _ in range(300):
+        a = "".join(rng.choice("abé ") for _ in range(rng.randint(1, 40)))
+        b = list(a)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "é"])
+        rows.append((a, "".join(b)))
+    df = spark.createDataFrame([*rows, ("s" * 30 + "abcdefgh" * 2, "s" * 30 + "stuvwxyz" * 2)], "a string, b string")
+    found = df.select("a", _ends_alike(F.col("a"), F.col("b"), 2).alias("alike"), (F.levenshtein("a", "b") <= 2).alias("near")).collect()
+    assert all(r.alike for r in found if r.near) and not found[-1].alike
